@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from blockweave.llm import exact_dedup, mixing
+from blockweave.llm import decontaminate, exact_dedup, mixing, quality, toxicity, url_filter
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_mixing": mixing.op3_mixing,
+    "op4_quality_classifier": quality.op4_quality_classifier,
+    "op5_url_filters": url_filter.op5_url_filters,
+    "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op3_mixing": mixing.SQL,
+    "op5_url_filters": url_filter.SQL,
+    "op8_benchmark_decontamination": decontaminate.SQL,
 }
