@@ -26,7 +26,7 @@ from blockweave.llm import ragged
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 #: Documents in a range of keys, on average.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
