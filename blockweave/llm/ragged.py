@@ -127,7 +127,7 @@ def grams(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.
         out += hashes[j : j + total] * _MULT[j]
     row = np.repeat(np.arange(len(n)), counts)
     at = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(rows[:-1], counts)
-    return mix(out[at] + _MULT[62] * np.uint64(k)), row
+    return mix(out[at] + np.uint64(int(_MULT[62]) * k & (2**64 - 1))), row
 
 
 def shingle_sets(flat: np.ndarray, off: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
