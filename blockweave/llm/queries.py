@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from blockweave.llm import decontaminate, exact_dedup, mixing, quality, toxicity, url_filter
+from blockweave.llm import decontaminate, exact_dedup, html_extract, mixing, quality, token_count, toxicity, url_filter
 
 QUERIES = {
+    "op1_html_extraction": html_extract.op1_html_extraction,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_url_filters": url_filter.op5_url_filters,
+    "op7_token_counts": token_count.op7_token_counts,
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     "op10_toxicity": toxicity.op10_toxicity,
 }
