@@ -146,3 +146,18 @@ def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score at least ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        weights, bias = shared.value
+        for batch in batches:
+            for part, flat, off in ragged.chunks(batch, "text"):
+                value, row, n = features(flat, off)
+                total = np.bincount(row, weights=weights[value], minlength=len(n)) * _scale(n) + bias
+                yield part.filter(pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -30, 30))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blockweave.llm import decontaminate, exact_dedup, html_extract, mixing, quality, token_count, toxicity, url_filter
+from blockweave.llm import decontaminate, exact_dedup, html_extract, jaccard_join, mixing, quality, token_count, toxicity, url_filter
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_url_filters": url_filter.op5_url_filters,
+    "op6_ngram_jaccard_join": jaccard_join.op6_ngram_jaccard_join,
     "op7_token_counts": token_count.op7_token_counts,
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     "op10_toxicity": toxicity.op10_toxicity,
@@ -19,5 +20,6 @@ ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op3_mixing": mixing.SQL,
     "op5_url_filters": url_filter.SQL,
+    "op6_ngram_jaccard_join": jaccard_join.SQL,
     "op8_benchmark_decontamination": decontaminate.SQL,
 }
