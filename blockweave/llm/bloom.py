@@ -25,7 +25,7 @@ def slots(value: Column, bits: int) -> list[Column]:
     return [F.pmod(F.xxhash64(value, F.lit(seed)), F.lit(bits)) for seed in (11, 29)]
 
 
-def _bitmap(marked: DataFrame, bits: int) -> np.ndarray:
+def bitmap(marked: DataFrame, bits: int) -> np.ndarray:
     """The bits at column ``slot`` as a numpy array of words; the driver gets one row for each word that isn't zero."""
     word = F.expr("shiftright(slot, 6)").alias("word")
     packed = marked.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
@@ -38,12 +38,12 @@ def _bitmap(marked: DataFrame, bits: int) -> np.ndarray:
 def repeated(values: DataFrame, column: str, bits: int) -> np.ndarray:
     """First pass: the filter's bits that more than one row sets."""
     each = values.select(F.explode(F.array(*slots(F.col(column), bits))).alias("slot"))
-    return _bitmap(each.groupBy("slot").count().where("count > 1"), bits)
+    return bitmap(each.groupBy("slot").count().where("count > 1"), bits)
 
 
 def present(values: DataFrame, column: str, bits: int) -> np.ndarray:
     """The filter's bits that any row sets."""
-    return _bitmap(values.select(F.explode(F.array(*slots(F.col(column), bits))).alias("slot")), bits)
+    return bitmap(values.select(F.explode(F.array(*slots(F.col(column), bits))).alias("slot")), bits)
 
 
 def holds(words: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:

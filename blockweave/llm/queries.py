@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blockweave.llm import decontaminate, exact_dedup, html_extract, jaccard_join, mixing, quality, token_count, toxicity, url_filter
+from blockweave.llm import decontaminate, exact_dedup, html_extract, jaccard_join, mixing, quality, suffix_dedup, token_count, toxicity, url_filter
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_ngram_jaccard_join": jaccard_join.op6_ngram_jaccard_join,
     "op7_token_counts": token_count.op7_token_counts,
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
+    "op9_suffix_array_dedup": suffix_dedup.op9_suffix_array_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
