@@ -12,12 +12,17 @@ import os
 import socket
 import struct
 import threading
+import time
 import urllib.request
 from urllib.parse import urlsplit
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 
+#: Seconds before a broken feed is taken up again.
+RECONNECT_S = 1.0
+
+
 def polled_head(url: str, timeout: float = 10.0) -> int | None:
     payload = json.dumps({"jsonrpc": "2.0", "id": 1, "method": "eth_blockNumber", "params": []}).encode()
     try:
@@ -49,6 +54,14 @@ class Listener:
         sock.sendall(head + mask + bytes(b ^ mask[i % 4] for i, b in enumerate(data)))
 
     def _run(self) -> None:
+        while True:  # a feed that breaks off is taken up again; the offset fills what it missed
+            try:
+                self._listen()
+            except OSError:
+                pass
+            time.sleep(RECONNECT_S)
+
+    def _listen(self) -> None:
         parts = urlsplit(self.url)
         with socket.create_connection((parts.hostname, parts.port or 80)) as sock:
             key = base64.b64encode(os.urandom(16)).decode()
