@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockweave.llm import ragged
+from blockweave.llm.shared import small_batches
 
 K = 5
 CONTAINMENT = (80, 100)
@@ -131,6 +132,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = search(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "item_id", "n_shingles", "n_shared", F.round(F.col("n_shared") / F.col("n_shingles"), 6).alias("containment"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockweave.llm import bloom
-from blockweave.llm.shared import written
+from blockweave.llm.shared import small_batches, written
 
 
 def normalised(text: str | Column) -> Column:
@@ -64,6 +64,7 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mark(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

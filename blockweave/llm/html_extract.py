@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from blockweave.llm.shared import small_batches
 
 #: Elements whose content is no text.
 RAW = ("script", "style", "template", "noscript", "iframe", "svg", "math", "object", "textarea", "title", "canvas", "video", "audio", "xmp", "noembed", "noframes")
@@ -209,4 +210,5 @@ def extract_pages(pages: DataFrame, weights: dict[str, float] = WEIGHTS) -> Data
 
 
 def op1_html_extraction(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))

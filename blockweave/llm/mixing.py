@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockweave.llm import ragged
+from blockweave.llm.shared import small_batches, written
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -69,8 +70,6 @@ def random_key(doc_id: str | Column, seed: str) -> Column:
 
 def mix(docs: DataFrame, seed: str = "mix", text: str = "text") -> DataFrame:
     """doc_id, size, source_size, target and taken of every document; also source and its random key."""
-    from blockweave.llm.shared import written
-
     sized = written(sizes(docs, text), "sizes")
     goal = targets(sized)
     keyed = sized.withColumn("key", random_key("doc_id", seed))
@@ -105,6 +104,7 @@ def mixture(docs: DataFrame, seed: str = "mix") -> DataFrame:
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")
 
 

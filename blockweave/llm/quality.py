@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockweave.llm import labelled, ragged
+from blockweave.llm.shared import small_batches
 
 BITS = 18
 #: Most labelled rows to train on.
@@ -138,6 +139,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | No
 
 
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model).select(

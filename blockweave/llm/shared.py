@@ -19,14 +19,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return have.get()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through a checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Most bytes of an Arrow batch that goes to a Python worker, and most rows.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 4000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session, so that a worker's memory doesn't follow the length of its texts."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        spark.conf.set(key, str(most))
 
 
 def written(df: DataFrame, name: str = "t") -> DataFrame:
     """Cuts the lineage through a Parquet table in the shared folder; later reads take only the columns they use."""
+    small_batches(df.sparkSession)
     path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

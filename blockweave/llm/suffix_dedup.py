@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockweave.llm import bloom, ragged
-from blockweave.llm.shared import written
+from blockweave.llm.shared import small_batches, written
 
 LENGTH = 100
 GRAM = 32
-#: Windows sorted at once.
-SORT_WINDOWS = 1 << 21
+#: Bytes of spans sorted at once (more only within one anchor), and pairs whose bytes are compared at once.
+SORT_BYTES = 1 << 20
+COMPARED = 10_000
 _PLACE_BITS = 22
 _LAST = 2**63 - 1
 
@@ -199,8 +200,8 @@ def repeated_windows(flat: np.ndarray, begin: np.ndarray, count: np.ndarray, lea
     owner, inner, group, suffix = owner[order], inner[order], group[order], suffix[order]
     same = np.zeros(len(owner), dtype=bool)
     pair = np.flatnonzero(group[1:] == group[:-1])
-    for at in range(0, len(pair), 200_000):  # the bytes decide, hashes only sort
-        some = pair[at : at + 200_000]
+    for at in range(0, len(pair), COMPARED):  # the bytes decide, hashes only sort
+        some = pair[at : at + COMPARED]
         same[some + 1] = (flat[suffix[some][:, None] + np.arange(LENGTH)] == flat[suffix[some + 1][:, None] + np.arange(LENGTH)]).all(axis=1)
     first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
     same &= (doc[owner] != doc[owner[first]]) | (start[owner] + inner != start[owner[first]] + inner[first])
@@ -240,7 +241,7 @@ def _compared(edges: DataFrame) -> DataFrame:
         new = np.ones(len(owner), dtype=bool)
         new[1:] = (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)
         heads = np.flatnonzero(new)
-        last = np.append(heads[1:], len(owner)) - 1
+        last = np.append(heads[1:], len(owner))[: len(heads)] - 1
         return pa.record_batch([pa.array(doc[owner[heads]]), pa.array(start[owner[heads]] + inner[heads]), pa.array(start[owner[heads]] + inner[last] + LENGTH)], names=["doc_id", "lo", "hi"])
 
     def run(batches):
@@ -248,7 +249,7 @@ def _compared(edges: DataFrame) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += batch.column("content").nbytes
-            if size > SORT_WINDOWS * 4:
+            if size > SORT_BYTES:
                 table = pa.Table.from_batches(held)
                 anchor = table.column("anchor").to_numpy()
                 cut = int(np.searchsorted(anchor, anchor[-1]))
@@ -278,9 +279,9 @@ def merge_ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Maximal runs of the ranges' union; ranges that touch are one run."""
     order = np.argsort(lo, kind="stable")
     lo, hi = lo[order], np.maximum.accumulate(hi[order])
-    new = np.append(True, lo[1:] > hi[:-1])
+    new = np.append(True, lo[1:] > hi[:-1])[: len(lo)]
     heads = np.flatnonzero(new)
-    return lo[heads], hi[np.append(heads[1:], len(lo)) - 1]
+    return lo[heads], hi[np.append(heads[1:], len(lo))[: len(heads)] - 1]
 
 
 def _result(doc, data: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple:
@@ -328,4 +329,5 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def op9_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))

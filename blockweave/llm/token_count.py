@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from blockweave.llm import ragged
+from blockweave.llm.shared import small_batches
 
 LIMIT = 512
 #: Most pre-tokens in a worker's cache; it is emptied when full.
-CACHE = 1_000_000
+CACHE = 400_000
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Unicode's White_Space, fixed values.
 WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -182,6 +183,7 @@ def count(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     import public_tokenizers
 
     return count(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))

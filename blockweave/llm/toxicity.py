@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockweave.llm import labelled
+from blockweave.llm.shared import small_batches, written
 
 TRAIN_ROWS = 12_000
 TERMS = 2000
@@ -162,8 +163,6 @@ def fit_curve(y: np.ndarray, total: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = TRAIN_ROWS) -> tuple[dict[str, float], np.ndarray]:
     """The lexicon's weights and the curve."""
-    from blockweave.llm.shared import written
-
     rows = written(labelled.sample(docs, labels, label, FOLDS, HELD_OUT, bound), "labelled")
     half = F.xxhash64("doc_id", F.lit("half")) % 2 == 0
     weights = learn_lexicon(rows.where(half))
@@ -178,6 +177,7 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray]) -> DataFr
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model).select(

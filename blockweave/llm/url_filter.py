@@ -16,6 +16,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from blockweave.llm.shared import small_batches
 
 #: Host, path, verdict.
 RULES = (
@@ -96,6 +97,7 @@ def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=None, soft_limit: i
 
 
 def op5_url_filters(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "path", "rule", "verdict")
 
 

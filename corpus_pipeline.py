@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from blockweave.llm import decontaminate, exact_dedup, jaccard_join, mixing, quality
-from blockweave.llm.shared import written
+from blockweave.llm.shared import small_batches, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    small_batches(spark)
     return quality.keep_good(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
