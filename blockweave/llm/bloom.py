@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 #: Largest filter in bits (32 MB).  Past ``MAX_BITS / BITS_EACH`` values the share of false positives rises, so that
 #: more rows take the shuffled way; results stay the same.
@@ -59,8 +58,8 @@ def may_repeat(rows: DataFrame, value: Column, words: np.ndarray, bits: int, fla
     """Adds a boolean column: whether the filter holds the value."""
     shared = rows.sparkSession.sparkContext.broadcast(words)
 
-    @pandas_udf("boolean")
-    def test(first: pd.Series, second: pd.Series) -> pd.Series:
-        return pd.Series(holds(shared.value, first.to_numpy(), second.to_numpy()))
+    @F.arrow_udf("boolean")
+    def test(first: pa.Array, second: pa.Array) -> pa.Array:
+        return pa.array(holds(shared.value, first.to_numpy(), second.to_numpy()))
 
     return rows.withColumn(flag, test(*slots(value, bits)))

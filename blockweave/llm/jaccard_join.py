@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockweave.llm import bloom, ragged
-from blockweave.llm.shared import written
+from blockweave.llm.shared import small_batches, written
 
 K = 5
 SUBSET = 2
@@ -154,17 +154,20 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     needed = left.select(F.col("a").alias("rep")).union(left.select("b")).distinct()
     bits = bloom.size_for(2 * left.count())
     words = bloom.present(needed, "rep", bits)
-    texts = bloom.may_repeat(docs.select("doc_id", "text").where("doc_id is not null"), F.col("doc_id"), words, bits, "needed").where("needed")
+    shared = docs.sparkSession.sparkContext.broadcast(words)
     kind = classes.schema["rep"].dataType.simpleString()
 
     def sets(batches):
         for batch in batches:
-            for part, flat, off in ragged.chunks(batch, "text"):
+            held = bloom.holds(shared.value, batch.column("first").to_numpy(), batch.column("second").to_numpy())
+            for part, flat, off in ragged.chunks(batch.select(["rep", "text"]).filter(pa.array(held)), "text"):
                 value, rows = ragged.shingle_sets(flat, off, K)
                 cuts = (rows * 8).astype(np.int64)
-                yield pa.record_batch([part.column("doc_id"), pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(value))]).cast(pa.binary())], names=["rep", "elements"])
+                yield pa.record_batch([part.column("rep"), pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(value))]).cast(pa.binary())], names=["rep", "elements"])
 
-    shingles = texts.select("doc_id", "text").mapInArrow(sets, f"rep {kind}, elements binary")
+    first, second = bloom.slots(F.col("doc_id"), bits)
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text", first.alias("first"), second.alias("second"))
+    shingles = texts.mapInArrow(sets, f"rep {kind}, elements binary")
     one = shingles.select(F.col("rep").alias("a"), F.col("elements").alias("e_a"))
     two = shingles.select(F.col("rep").alias("b"), F.col("elements").alias("e_b"))
 
@@ -307,6 +310,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
 
 def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return membership(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
