@@ -2,6 +2,9 @@
 
 All joins are inside a block, so they run inside its row: receipts meet transactions by position, traces meet transactions
 by hash.  Nothing shuffles between decoding and writing.
+
+Arrays are exploded by the outer generators, with empty ones filtered after: the inner ones make Catalyst infer a filter on
+the array, which it then computes a second time, JSON and all, below the projection.
 """
 
 from __future__ import annotations
@@ -37,7 +40,8 @@ def blocks(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0) -> Da
 
 def _pairs(decoded: DataFrame, chunk_size: int, remap_mod: int) -> DataFrame:
     head = _head(decoded, chunk_size, remap_mod, paired(F.col("block.transactions"), F.col("receipts")).alias("pairs"))
-    return head.select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", F.inline("pairs"))
+    rows = head.select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", F.inline_outer("pairs"))
+    return rows.where("t is not null")
 
 
 def transactions(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0, value: Callable[[str], Column] = decimal) -> DataFrame:
@@ -69,7 +73,8 @@ def transactions(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0,
 
 def logs(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0) -> DataFrame:
     topics = F.col("topics")
-    exploded = _pairs(decoded, chunk_size, remap_mod).select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", F.inline("r.logs"))
+    placed = _pairs(decoded, chunk_size, remap_mod).select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", F.posexplode_outer("r.logs").alias("at", "log"))
+    exploded = placed.where("at is not null").select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", "log.*")
     names = ("topic_zeroth", "topic_first", "topic_second", "topic_third")
     return exploded.select(
         "chunk",
@@ -114,7 +119,7 @@ def with_matches(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0,
 def matched_traces(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0) -> DataFrame:
     """Traces that belong to a transaction of their block, with their place among all of the block's traces."""
     head = with_matches(decoded, chunk_size, remap_mod)
-    rows = head.select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", F.inline("found"))
+    rows = head.select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", F.inline_outer("found")).where("trace_index is not null")
     return rows.select("*", F.coalesce(F.lower("action.from"), F.lit("")).alias("from_address"))
 
 
