@@ -33,6 +33,8 @@ from blockweave.llm.shared import small_batches, written
 
 LENGTH = 100
 GRAM = 32
+#: Spans of an anchor beyond which its windows go by their own hashes; so the hot anchors are few: one in so many spans at most.
+HOT_SPANS = 50_000
 #: Bytes of spans sorted at once (more only within one anchor), and pairs whose bytes are compared at once.
 SORT_BYTES = 1 << 20
 COMPARED = 10_000
@@ -99,7 +101,7 @@ def _span_rows(docs: DataFrame) -> DataFrame:
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """doc_id, lo, hi of spans that repeat, and with ``place`` set those to compare by windows."""
+    """doc_id, lo, hi of spans that repeat, and with ``place`` and ``anchor`` set those to compare by windows."""
 
     def run(batches):
         table = pa.Table.from_batches(list(batches), schema=schema) if schema is not None else None
@@ -117,12 +119,14 @@ def _classes(rows: DataFrame) -> DataFrame:
         several = np.bincount(of_anchor, weights=new_class) > 1
         several[[0, -1]] = True
         edge = new_class & several[of_anchor]
-        yield pa.record_batch([pa.array(doc[again]), pa.array(start[again]), pa.array((start + count + LENGTH - 1)[again]), pa.nulls(int(again.sum()), pa.int64())], names=["doc_id", "lo", "hi", "place"])
-        yield pa.record_batch([pa.array(doc[edge]), pa.array(start[edge]), pa.array(start[edge]), pa.array(ragged.signed(_place(doc[edge], start[edge])))], names=["doc_id", "lo", "hi", "place"])
+        names = ["doc_id", "lo", "hi", "place", "anchor"]
+        none = pa.nulls(int(again.sum()), pa.int64())
+        yield pa.record_batch([pa.array(doc[again]), pa.array(start[again]), pa.array((start + count + LENGTH - 1)[again]), none, none], names=names)
+        yield pa.record_batch([pa.array(doc[edge]), pa.array(start[edge]), pa.array(start[edge]), pa.array(ragged.signed(_place(doc[edge], start[edge]))), pa.array(anchor[edge])], names=names)
 
     schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("doc_id", pa.int64()), ("windows", pa.int64())])
     ordered = rows.repartitionByRange("anchor", "span", "doc_id", "windows").sortWithinPartitions("anchor", "span", "doc_id", "windows")
-    return ordered.mapInArrow(run, "doc_id long, lo long, hi long, place long")
+    return ordered.mapInArrow(run, "doc_id long, lo long, hi long, place long, anchor long")
 
 
 def common_extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, most: int = LENGTH) -> np.ndarray:
@@ -208,9 +212,9 @@ def repeated_windows(flat: np.ndarray, begin: np.ndarray, count: np.ndarray, lea
     return owner[same], inner[same]
 
 
-def _edge_rows(docs: DataFrame, words: np.ndarray, bits: int) -> DataFrame:
-    """The spans that the filter holds, with their bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def _edge_rows(docs: DataFrame, words: np.ndarray, bits: int, hot: np.ndarray, take_hot: bool) -> DataFrame:
+    """The spans that the filter holds, with their bytes: those of hot anchors or the others (``hot`` is sorted)."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, hot))
 
     def run(batches):
         for batch in batches:
@@ -218,7 +222,9 @@ def _edge_rows(docs: DataFrame, words: np.ndarray, bits: int) -> DataFrame:
                 row, start, count, lead, anchor, _ = spans(flat, off)
                 doc = part.column("doc_id").to_numpy()[row]
                 place = _place(doc, start)
-                held = np.flatnonzero(bloom.holds(shared.value, place & np.uint64(bits - 1), place >> np.uint64(32) & np.uint64(bits - 1)))
+                words, hot = shared.value
+                holds = bloom.holds(words, place & np.uint64(bits - 1), place >> np.uint64(32) & np.uint64(bits - 1))
+                held = np.flatnonzero(holds & (np.isin(ragged.signed(anchor), hot) == take_hot))
                 first = off[row[held]] + start[held]
                 size = count[held] + LENGTH - 1
                 cuts = np.concatenate([[0], np.cumsum(size)])
@@ -236,13 +242,7 @@ def _compared(edges: DataFrame) -> DataFrame:
         anchor, doc, start, lead = (table.column(c).to_numpy() for c in ("anchor", "doc_id", "start", "lead"))
         flat, off = ragged.buffers(table.column("content").combine_chunks())
         owner, inner = repeated_windows(flat, off[:-1], np.diff(off) - LENGTH + 1, lead, anchor, doc, start)
-        order = np.lexsort((inner, owner))
-        owner, inner = owner[order], inner[order]
-        new = np.ones(len(owner), dtype=bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)
-        heads = np.flatnonzero(new)
-        last = np.append(heads[1:], len(owner))[: len(heads)] - 1
-        return pa.record_batch([pa.array(doc[owner[heads]]), pa.array(start[owner[heads]] + inner[heads]), pa.array(start[owner[heads]] + inner[last] + LENGTH)], names=["doc_id", "lo", "hi"])
+        return _runs(doc[owner], start[owner] + inner)
 
     def run(batches):
         held, size = [], 0
@@ -264,6 +264,45 @@ def _compared(edges: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lo long, hi long")
 
 
+def _runs(doc: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """doc_id, lo, hi of runs of neighbouring windows, from windows in any order."""
+    order = np.lexsort((at, doc))
+    doc, at = doc[order], at[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + 1)
+    heads = np.flatnonzero(new)
+    last = np.append(heads[1:], len(doc))[: len(heads)] - 1
+    return pa.record_batch([pa.array(doc[heads]), pa.array(at[heads]), pa.array(at[last] + LENGTH)], names=["doc_id", "lo", "hi"])
+
+
+def _compared_apart(edges: DataFrame) -> DataFrame:
+    """The same for spans of hot anchors: every window goes by two hashes of its own, so that no anchor gathers in a task.
+
+    The first place of a window is an aggregate, combined before the shuffle, and meets the windows in a join that can be split.
+    """
+
+    def windows(batches):
+        for batch in batches:
+            flat, off = ragged.buffers(batch.column("content"))
+            count = np.diff(off) - LENGTH + 1
+            owner = np.repeat(np.arange(len(count)), count)
+            inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            begin, prefix = off[:-1][owner] + inner, ragged.prefix_hash(flat)
+            one = ragged.range_hash(prefix, begin, begin + LENGTH)
+            two = ragged.range_hash(prefix, begin, begin + LENGTH // 2) ^ ragged.mix(ragged.range_hash(prefix, begin + LENGTH // 2, begin + LENGTH))
+            doc, start = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
+            yield pa.record_batch([pa.array(ragged.signed(one)), pa.array(ragged.signed(two)), pa.array(doc[owner]), pa.array(start[owner] + inner)], names=["w1", "w2", "doc_id", "at"])
+
+    def runs(batches):
+        for batch in batches:
+            yield _runs(batch.column("doc_id").to_numpy(), batch.column("at").to_numpy())
+
+    rows = written(edges.mapInArrow(windows, "w1 long, w2 long, doc_id long, at long"), "windows")
+    first = rows.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last")).where("first <> last")
+    again = rows.join(written(first.select("w1", "w2", "first"), "firsts"), ["w1", "w2"]).where("doc_id <> first.doc_id or at <> first.at")
+    return again.select("doc_id", "at").mapInArrow(runs, "doc_id long, lo long, hi long")
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, lo, hi: ranges of bytes that repeat; ranges of a document may overlap."""
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -272,7 +311,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     bits = bloom.size_for(edges.count())
     slots = F.explode(F.array(F.col("place").bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned("place", 32).bitwiseAND(F.lit(bits - 1)))).alias("slot")
     words = bloom.bitmap(edges.select(slots), bits)
-    return found.where("place is null").select("doc_id", "lo", "hi").union(_compared(_edge_rows(source, words, bits)))
+    hot = edges.groupBy("anchor").count().where(F.col("count") > HOT_SPANS).orderBy("anchor").select("anchor").toArrow().column("anchor").to_numpy()
+    result = found.where("place is null").select("doc_id", "lo", "hi").union(_compared(_edge_rows(source, words, bits, hot, False)))
+    return result.union(_compared_apart(_edge_rows(source, words, bits, hot, True))) if len(hot) else result
 
 
 def merge_ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
