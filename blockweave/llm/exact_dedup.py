@@ -37,7 +37,7 @@ def mark(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     tested = bloom.may_repeat(hashed, F.col("sha"), words, bits, "may_repeat")
     maybe = tested.where("may_repeat").drop("may_repeat")
     groups = maybe.groupBy("sha").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    shuffled = maybe.join(groups, "sha")
+    shuffled = maybe.join(written(groups, "groups"), "sha")  # apart from the aggregate, so that a hot group's join can be split
     single = tested.where("not may_repeat").select("sha", "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     return single.unionByName(shuffled).select(
         "doc_id",
