@@ -19,6 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 from blockweave.functions import uint256 as U
 from blockweave.schemas import DUMP_TABLES
 
+# Fixed values of the format: the magic, the batch mark and the header layouts.
 MAGIC = b"ZIG2D\x01"
 SCHEMA = "batch_id LONG, table_id INT, vals ARRAY<BINARY>"
 
