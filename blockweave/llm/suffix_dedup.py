@@ -33,8 +33,10 @@ from blockweave.llm.shared import small_batches, written
 
 LENGTH = 100
 GRAM = 32
-#: Spans of an anchor beyond which its windows go by their own hashes; so the hot anchors are few: one in so many spans at most.
-HOT_SPANS = 50_000
+#: Spans of an anchor beyond which its windows go by their own hashes: so many at least, and so large a part of all spans that
+#: the list of hot anchors, which the executors get, has at most ``MOST_HOT`` entries (8 MB).
+HOT_SPANS = 2000
+MOST_HOT = 1_000_000
 #: Bytes of spans sorted at once (more only within one anchor), and pairs whose bytes are compared at once.
 SORT_BYTES = 1 << 20
 COMPARED = 10_000
@@ -308,10 +310,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = written(_classes(_span_rows(source)), "spans")
     edges = found.where("place is not null")
-    bits = bloom.size_for(edges.count())
+    n = edges.count()
+    bits = bloom.size_for(n)
     slots = F.explode(F.array(F.col("place").bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned("place", 32).bitwiseAND(F.lit(bits - 1)))).alias("slot")
     words = bloom.bitmap(edges.select(slots), bits)
-    hot = edges.groupBy("anchor").count().where(F.col("count") > HOT_SPANS).orderBy("anchor").select("anchor").toArrow().column("anchor").to_numpy()
+    hot = edges.groupBy("anchor").count().where(F.col("count") > max(HOT_SPANS, n // MOST_HOT)).orderBy("anchor").select("anchor").toArrow().column("anchor").to_numpy()
     result = found.where("place is null").select("doc_id", "lo", "hi").union(_compared(_edge_rows(source, words, bits, hot, False)))
     return result.union(_compared_apart(_edge_rows(source, words, bits, hot, True))) if len(hot) else result
 
