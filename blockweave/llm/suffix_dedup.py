@@ -40,6 +40,8 @@ MOST_HOT = 1_000_000
 #: Bytes of spans sorted at once (more only within one anchor), and pairs whose bytes are compared at once.
 SORT_BYTES = 1 << 20
 COMPARED = 10_000
+#: Spans of hot anchors whose windows are made at once.
+APART_SPANS = 500
 _PLACE_BITS = 22
 _LAST = 2**63 - 1
 
@@ -284,16 +286,18 @@ def _compared_apart(edges: DataFrame) -> DataFrame:
     """
 
     def windows(batches):
-        for batch in batches:
-            flat, off = ragged.buffers(batch.column("content"))
-            count = np.diff(off) - LENGTH + 1
-            owner = np.repeat(np.arange(len(count)), count)
-            inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-            begin, prefix = off[:-1][owner] + inner, ragged.prefix_hash(flat)
-            one = ragged.range_hash(prefix, begin, begin + LENGTH)
-            two = ragged.range_hash(prefix, begin, begin + LENGTH // 2) ^ ragged.mix(ragged.range_hash(prefix, begin + LENGTH // 2, begin + LENGTH))
-            doc, start = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
-            yield pa.record_batch([pa.array(ragged.signed(one)), pa.array(ragged.signed(two)), pa.array(doc[owner]), pa.array(start[owner] + inner)], names=["w1", "w2", "doc_id", "at"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, APART_SPANS):
+                batch = whole.slice(i, APART_SPANS)
+                flat, off = ragged.buffers(batch.column("content"))
+                count = np.diff(off) - LENGTH + 1
+                owner = np.repeat(np.arange(len(count)), count)
+                inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+                begin, prefix = off[:-1][owner] + inner, ragged.prefix_hash(flat)
+                one = ragged.range_hash(prefix, begin, begin + LENGTH)
+                two = ragged.range_hash(prefix, begin, begin + LENGTH // 2) ^ ragged.mix(ragged.range_hash(prefix, begin + LENGTH // 2, begin + LENGTH))
+                doc, start = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
+                yield pa.record_batch([pa.array(ragged.signed(one)), pa.array(ragged.signed(two)), pa.array(doc[owner]), pa.array(start[owner] + inner)], names=["w1", "w2", "doc_id", "at"])
 
     def runs(batches):
         for batch in batches:
