@@ -1,7 +1,8 @@
 """HTML extraction by a maximum-scoring subsequence.
 
 A page is read as a sequence of words and tags.  Words score by where they stand, tags below zero by what they are, with
-weights fitted as log-odds on labelled pages; one linear scan finds the contiguous region of the highest sum.  The region's
+weights fitted as log-odds on labelled pages; one linear scan finds the contiguous region of the highest sum.  Inside
+``<article>`` or ``<main>`` nothing scores below zero, so that asides, tags and links don't cut it.  The region's
 text is given block by block, without what stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments, by element, role, or class and id names.
 
@@ -57,7 +58,7 @@ LABELLED = (
     "<body><div class=cookie-notice>We use cookies <a href=x>Accept</a></div><div><ul><li><a href=x>A</a></li><li><a href=x>B</a></li></ul></div><div><div>⟦<p>Letters from readers came in great number this week, and we print a few of them here.</p><p>One wrote about the bridge, another about the trees along the river that fell in the storm.</p><p>Thank you all.</p>⟧</div></div><div class=share><a href=x>Share</a><a href=x>Send</a></div><div><span>2020</span> <a href=x>Terms of use</a></div></body>",
 )
 
-Token = tuple[str, str, bool, int]  # kind of score, text ("" for a tag), aside, number of block
+Token = tuple[str, str, bool, int, bool]  # kind of score, text ("" for a tag), aside, number of block, where nothing scores below zero
 
 
 def _marks(name: str, attrs: str, in_main: bool = True) -> bool:
@@ -76,24 +77,29 @@ def _marks(name: str, attrs: str, in_main: bool = True) -> bool:
 def tokens(page: str) -> Iterator[Token]:
     """Texts and tags of a page, in order."""
     stack: list[tuple[str, bool]] = []
-    aside = links = mains = block = 0
+    aside = links = mains = articles = block = 0
     has_main = re.search(r"<(?:article|main)\b", page, re.I) is not None
+    has_article = re.search(r"<article\b", page, re.I) is not None
     at = 0
 
     def word_kind() -> str:
         return "aside" if aside else "outside" if has_main and not mains else "link" if links else "word"
 
+    def inside() -> bool:
+        return mains > 0 and (aside > 0 or articles > 0 or not has_article)
+
     def pop(to: int) -> None:
-        nonlocal aside, links, mains
+        nonlocal aside, links, mains, articles
         while len(stack) > to:
             name, marked = stack.pop()
             aside -= marked
             links -= name == "a"
             mains -= name in ("article", "main")
+            articles -= name == "article"
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            yield word_kind(), page[at : m.start()], bool(aside), block
+            yield word_kind(), page[at : m.start()], bool(aside), block, inside()
         at = m.end()
         if not m["name"]:
             continue
@@ -101,7 +107,7 @@ def tokens(page: str) -> Iterator[Token]:
         if name in BLOCKS:
             block += 1
         if name == "br":
-            yield "tag:br", " ", bool(aside), block
+            yield "tag:br", " ", bool(aside), block, inside()
         elif m["close"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -109,7 +115,7 @@ def tokens(page: str) -> Iterator[Token]:
                     break
                 if stack[i][0] in ("td", "th", "table") and name not in ("table", "tr", "tbody", "thead", "tfoot", "div", "section", "article", "main", "body", "html"):
                     break
-            yield f"tag:{name}", "", bool(aside), block
+            yield f"tag:{name}", "", bool(aside), block, inside()
         else:
             if name in _CLOSES_P or name == "li":
                 own = "li" if name == "li" else "p"
@@ -125,9 +131,10 @@ def tokens(page: str) -> Iterator[Token]:
                 aside += marked
                 links += name == "a"
                 mains += name in ("article", "main")
-            yield f"tag:{name}", "", bool(aside), block
+                articles += name == "article"
+            yield f"tag:{name}", "", bool(aside), block, inside()
     if at < len(page):
-        yield word_kind(), page[at:], bool(aside), block
+        yield word_kind(), page[at:], bool(aside), block, inside()
 
 
 def fit(pages: Iterable[str] = LABELLED) -> dict[str, float]:
@@ -144,7 +151,7 @@ def fit(pages: Iterable[str] = LABELLED) -> dict[str, float]:
                 length += len(part)
         seen = 0
         text = "".join(plain)
-        for kind, words, _, _ in tokens(text):
+        for kind, words, *_ in tokens(text):
             n = len(words.split()) if not kind.startswith("tag:") else 1
             # a token stands where its first character does; tags have none, so the text read so far places them
             if words.strip():
@@ -180,15 +187,34 @@ def region(scores: list[float]) -> tuple[int, int]:
     return start, end
 
 
+def scores(found: Iterable[Token], weights: dict[str, float]) -> list[float]:
+    """What each token adds to a region.
+
+    The article's own tags add nothing, nor do asides in it.  On a page without ``<article>`` and ``<main>``, asides between two
+    words weigh together as one word, however long they are.
+    """
+    out, parted = [], False
+    for kind, text, aside, _, inside in found:
+        n = len(text.split())
+        if kind.startswith("tag:"):
+            out.append(0.0 if aside or inside else weights.get(kind, OTHER_TAG))
+        elif aside:
+            out.append(0.0 if inside or parted or not n else weights["aside"])
+            parted = parted or n > 0
+        else:
+            out.append(weights["word" if inside else kind] * n)
+            parted = parted and not n
+    return out
+
+
 def extract(page: str | None, weights: dict[str, float] = WEIGHTS) -> str:
     """The main text of a page."""
     if not page:
         return ""
     found = list(tokens(page))
-    scores = [weights.get(kind, OTHER_TAG) * (1 if kind.startswith("tag:") else len(text.split())) for kind, text, _, _ in found]
-    start, end = region(scores)
+    start, end = region(scores(found, weights))
     blocks: dict[int, list[str]] = {}
-    for _, text, aside, block in found[start:end]:
+    for _, text, aside, block, _ in found[start:end]:
         if text and not aside:
             blocks.setdefault(block, []).append(text)
     lines = (" ".join(entities.unescape("".join(parts)).split()) for parts in blocks.values())

@@ -32,6 +32,24 @@ def test_extract(page, want):
     assert html_extract.extract(page) == want
 
 
+WORDS = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<article><h1>Rain comes</h1><div class=share>Share this page with friends</div><p>{WORDS}</p></article>", f"Rain comes\n{WORDS}"),
+        (f"<article><h1>Rain comes</h1><p>{WORDS}</p><div class=ad>{'buy now ' * 20}</div><p>Last words.</p></article>", f"Rain comes\n{WORDS}\nLast words."),
+        (f"<main><h1>Rain comes</h1><form>{'your mail ' * 20}</form><p>{WORDS}</p><aside>{'see also ' * 20}</aside><p>End.</p></main>", f"Rain comes\n{WORDS}\nEnd."),
+        (f"<div><h1>Rain comes</h1><div class=share>{'share it ' * 20}</div><p>{WORDS}</p><div class=ad>{'buy now ' * 20}</div><p>End.</p></div>", f"Rain comes\n{WORDS}\nEnd."),
+        (f"<article><h1><a href=x>Rain comes</a></h1><p>{WORDS}</p><ul><li><a href=x>One</a></li><li><a href=x>Two</a></li></ul></article>", f"Rain comes\n{WORDS}\nOne\nTwo"),
+        (f"<article><p>Start.</p>{'<figure><img></figure>' * 200}<p>{WORDS}</p></article><ul><li><a href=x>More</a></li></ul>", f"Start.\n{WORDS}"),
+    ],
+)
+def test_asides_and_links_do_not_cut_an_article(page, want):
+    assert html_extract.extract(page) == want
+
+
 @pytest.mark.parametrize("page", html_extract.LABELLED)
 def test_labelled_pages(page):
     start, end = page.index("⟦"), page.index("⟧")
