@@ -4,7 +4,8 @@ A page is read as a sequence of words and tags.  Words score by where they stand
 weights fitted as log-odds on labelled pages; one linear scan finds the contiguous region of the highest sum.  Inside
 ``<article>`` or ``<main>`` nothing scores below zero, so that asides, tags and links don't cut it.  The region's
 text is given block by block, without what stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments, by element, role, or class and id names.
+styles and reader comments, by element, role, or class and id names.  Such a mark doesn't count on an element that holds the
+page's article, or on a page without ``<article>`` and ``<main>`` most of its words; nor do names like has-sidebar or no-comments.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page order by
 one newline; nothing else is dropped or cut.
@@ -31,11 +32,15 @@ RAW = ("script", "style", "template", "noscript", "iframe", "svg", "math", "obje
 ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset", "datalist"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 #: Parts of class and id names that mark what isn't the article.
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|aside|footer|masthead|site-header|page-header|topbar"
-    r"|cookies?|consent|gdpr|notices?|notification|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|commentlist|disqus|respond|replies|widget|toolbar|pagination|pager|skip-link)(?:$|[\s_-])",
-    re.I,
+_PARTS = (
+    r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|aside|footer|masthead|site-header|page-header|topbar"
+    r"|cookies?|consent|gdpr|notices?|notification|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|commentlist|disqus|respond|replies|widget|toolbar|pagination|pager|skip-link"
 )
+NAMES = re.compile(rf"(?:^|[\s_-])(?:{_PARTS})(?:$|[\s_-])", re.I)
+#: Names that say what an element has or lacks, not what it is.
+STATES = re.compile(rf"(?:^|(?<=[\s_-]))(?:has|no|with|without)(?:[_-](?:left|right|top|bottom|primary|secondary|main|site|page|header|page-head|logo|sidebars|\d+|{_PARTS}))+(?=$|[\s_-])", re.I)
+#: Names that hold no article, however long they are.
+APART = re.compile(r"(?:^|[\s_-])(?:footer|cookies?|consent|gdpr|notices?|related|recommended|comments?|commentlist|disqus|respond|replies)(?:$|[\s_-])", re.I)
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -61,45 +66,47 @@ LABELLED = (
 Token = tuple[str, str, bool, int, bool]  # kind of score, text ("" for a tag), aside, number of block, where nothing scores below zero
 
 
-def _marks(name: str, attrs: str, in_main: bool = True) -> bool:
-    """Whether an element's name or attributes set it apart from the article."""
+def _marks(name: str, attrs: str, in_main: bool = True) -> int:
+    """Whether an element's name or attributes set it apart from the article: 0 no, 1 yes, 2 yes and it is no wrapper of one."""
     if name in ASIDE:
-        return True
+        return 1 if name in ("form", "fieldset") else 2
     if name in ("html", "body", "main", "article") or "=" not in attrs and "hidden" not in attrs.lower():
-        return False
+        return 0
+    mark = 2 if _HIDDEN.search(attrs) else 0
     for m in _ATTRIBUTE.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key == "role" and value.strip().lower() in ROLES or key == "hidden" and not value or key == "aria-hidden" and value.lower() == "true" or key in ("class", "id") and (NAMES.search(value) or not in_main and HEADS.search(value)):
-            return True
-    return bool(_HIDDEN.search(attrs))
-
-
-def tokens(page: str) -> Iterator[Token]:
-    """Texts and tags of a page, in order."""
-    stack: list[tuple[str, bool]] = []
-    aside = links = mains = articles = block = 0
-    has_main = re.search(r"<(?:article|main)\b", page, re.I) is not None
-    has_article = re.search(r"<article\b", page, re.I) is not None
-    at = 0
-
-    def word_kind() -> str:
-        return "aside" if aside else "outside" if has_main and not mains else "link" if links else "word"
-
-    def inside() -> bool:
-        return mains > 0 and (aside > 0 or articles > 0 or not has_article)
-
-    def pop(to: int) -> None:
-        nonlocal aside, links, mains, articles
-        while len(stack) > to:
-            name, marked = stack.pop()
-            aside -= marked
-            links -= name == "a"
-            mains -= name in ("article", "main")
-            articles -= name == "article"
-
+        if key in ("class", "id"):
+            value = STATES.sub("", value)
+            if NAMES.search(value) or not in_main and HEADS.search(value):
+                mark = max(mark, 2 if APART.search(value) else 1)
+        elif key == "role" and value.strip().lower() in ROLES:
+            mark = max(mark, 1 if value.strip().lower() == "form" else 2)
+        elif key == "hidden" and not value or key == "aria-hidden" and value.lower() == "true":
+            mark = 2
+    return mark
+
+
+class _Element:
+    """An element, its mark, and what it holds; ``aside`` is the highest mark from it upwards."""
+
+    __slots__ = ("name", "parent", "mark", "link", "mains", "articles", "words", "head", "parts", "aside")
+
+    def __init__(self, name: str, parent: _Element | None, mark: int):
+        self.name, self.parent, self.mark = name, parent, mark
+        self.link = name == "a" or parent is not None and parent.link
+        self.mains = (name in ("article", "main")) + (parent.mains if parent else 0)
+        self.articles = (name == "article") + (parent.articles if parent else 0)
+        self.words, self.head, self.parts = 0, name == "h1", (name == "p") + 2 * (name in ("header", "nav", "footer"))
+
+
+def _parse(page: str) -> tuple[list[tuple[str, str, _Element, int]], list[_Element]]:
+    """Texts ("" as the tag) and tags of a page with the element and the block they stand in, and all elements, outer ones first."""
+    top = _Element("", None, 0)
+    stack, elements, found = [top], [top], []
+    at = block = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            yield word_kind(), page[at : m.start()], bool(aside), block, inside()
+            found.append(("", page[at : m.start()], stack[-1], block))
         at = m.end()
         if not m["name"]:
             continue
@@ -107,34 +114,80 @@ def tokens(page: str) -> Iterator[Token]:
         if name in BLOCKS:
             block += 1
         if name == "br":
-            yield "tag:br", " ", bool(aside), block, inside()
+            found.append(("tag:br", " ", stack[-1], block))
         elif m["close"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    pop(i)
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name == name:
+                    del stack[i:]
                     break
-                if stack[i][0] in ("td", "th", "table") and name not in ("table", "tr", "tbody", "thead", "tfoot", "div", "section", "article", "main", "body", "html"):
+                if stack[i].name in ("td", "th", "table") and name not in ("table", "tr", "tbody", "thead", "tfoot", "div", "section", "article", "main", "body", "html"):
                     break
-            yield f"tag:{name}", "", bool(aside), block, inside()
+            found.append((f"tag:{name}", "", stack[-1], block))
         else:
             if name in _CLOSES_P or name == "li":
                 own = "li" if name == "li" else "p"
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == own:
-                        pop(i)
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].name == own:
+                        del stack[i:]
                         break
-                    if stack[i][0] in BLOCKS:
+                    if stack[i].name in BLOCKS:
                         break
-            marked = _marks(name, m["attrs"], mains > 0) or (name == "header" and not mains)
             if name not in VOID and not m["attrs"].rstrip().endswith("/"):
-                stack.append((name, marked))
-                aside += marked
-                links += name == "a"
-                mains += name in ("article", "main")
-                articles += name == "article"
-            yield f"tag:{name}", "", bool(aside), block, inside()
+                mains = stack[-1].mains > 0
+                stack.append(_Element(name, stack[-1], _marks(name, m["attrs"], mains) or (name == "header" and not mains and 2)))
+                elements.append(stack[-1])
+            found.append((f"tag:{name}", "", stack[-1], block))
     if at < len(page):
-        yield word_kind(), page[at:], bool(aside), block, inside()
+        found.append(("", page[at:], stack[-1], block))
+    return found, elements
+
+
+def _lift(elements: list[_Element]) -> _Element | None:
+    """Takes marks off the elements that hold the page's article, which is returned if it is an element of its own.
+
+    That is a ``<main>``, else an ``<article>`` that is in no other, an unmarked one first; in what is always apart it counts only
+    with an ``<h1>``.  Without one, a wrapper holds two thirds of the words that aren't links, and paragraphs or parts of a page.
+    """
+    for e in elements:
+        e.aside = max(e.mark, e.parent.aside if e.parent else 0)
+    best, chosen = None, None
+    for e in elements:
+        if e.name not in ("article", "main") or not e.words or e.name == "article" and e.articles > 1:
+            continue
+        if e.name == "article" and not e.head and e.aside > 1:
+            continue
+        rank = (e.name == "main", not e.aside, e.head, e.words)
+        if best is None or rank > best:
+            best, chosen = rank, e
+    if chosen is not None:
+        e = chosen
+        while (e := e.parent) is not None:
+            e.mark = 0
+    else:
+        for e in elements:
+            if e.mark == 1 and e.parts > 1 and 3 * e.words > 2 * elements[0].words:
+                e.mark = 0
+    for e in elements:
+        e.aside = max(e.mark, e.parent.aside if e.parent else 0)
+    return chosen
+
+
+def tokens(page: str) -> Iterator[Token]:
+    """Texts and tags of a page, in order."""
+    found, elements = _parse(page)
+    for tag, text, e, _ in found:
+        if not tag and not e.link:
+            e.words += len(text.split())
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.words += e.words
+            e.parent.head |= e.head
+            e.parent.parts += e.parts
+    has_main = _lift(elements) is not None
+    has_article = any(e.name == "article" and e.words and not e.aside for e in elements)
+    for tag, text, e, block in found:
+        kind = tag or ("aside" if e.aside else "outside" if has_main and not e.mains else "link" if e.link else "word")
+        yield kind, text, e.aside > 0, block, e.mains > 0 and (e.aside or e.articles > 0 or not has_article)
 
 
 def fit(pages: Iterable[str] = LABELLED) -> dict[str, float]:

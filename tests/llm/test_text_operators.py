@@ -50,6 +50,31 @@ def test_asides_and_links_do_not_cut_an_article(page, want):
     assert html_extract.extract(page) == want
 
 
+ARTICLE = f"<h1>Rain comes</h1><p>{WORDS}</p><p>Last words.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        *[f"<body><div class='{names}'><{tag}>{ARTICLE}</{tag}></div></body>" for names in ("site has-sidebar", "no-sidebar", "content no-comments", "page has-banner", "page_with_right_sidebar", "widget post") for tag in ("article", "main", "div")],
+        f"<body><form id=aspnetForm><div><a href=x>Home</a></div><article>{ARTICLE}</article></form></body>",
+        f"<body><form id=aspnetForm><nav><a href=x>Home</a></nav><div>{ARTICLE}</div><footer>Imprint</footer></form></body>",
+        f"<body><div class='post comments'><main>{ARTICLE}</main></div></body>",
+        f"<body><div id=content>{ARTICLE}</div><div id=comments><article><p>{WORDS} {WORDS}</p></article></div></body>",
+        f"<body><article>{ARTICLE}</article><div id=comments><article><p>{WORDS} {WORDS}</p></article></div></body>",
+        f"<body><article>{ARTICLE}</article><div class=sidebar><article><h1>Other</h1><p>{WORDS} {WORDS}</p></article></div></body>",
+        f"<body><div>{ARTICLE}</div><form><p>Your name</p><p>Your mail</p></form><aside><article>{WORDS} {WORDS}</article></aside></body>",
+        f"<body><div>{ARTICLE}</div><div class='no-print-share share'>Share it</div><div class='cookie-notice'><p>{WORDS} {WORDS}</p><p>{WORDS} {WORDS}</p></div></body>",
+    ],
+)
+def test_marks_on_wrappers_do_not_silence_an_article(page):
+    assert html_extract.extract(page) == f"Rain comes\n{WORDS}\nLast words."
+
+
+def test_deep_nesting():
+    assert html_extract.extract("<div class=ad><b>" * 3000 + "x" + "</div>" * 3000 + "<p>y</p>") == "y"
+
+
 @pytest.mark.parametrize("page", html_extract.LABELLED)
 def test_labelled_pages(page):
     start, end = page.index("⟦"), page.index("⟧")
