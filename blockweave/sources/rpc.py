@@ -2,12 +2,14 @@
 
 Every partition is a slice of the range; a task fetches its slice with a small thread pool.  Fetch mode 0 sends three single
 requests a block, 1 one array request for each method and slice, 2 one array request a block.  Blocks that fail are
-fetched again from the reserve, without a limit; what still fails comes as rows with ``failed``.
+fetched again from the reserve, without a limit, and live ones before that from the node itself, until their patience ends;
+what still fails comes as rows with ``failed``.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import urllib.request
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,6 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from blockweave.schemas import METHODS, RAW
 
 FETCH_MODES = (0, 1, 2)
+#: Seconds before a live block is asked for again: at first, and at most.
+RETRY_S, RETRY_MAX_S = 0.005, 0.5
 
 
 def call(method: str, block: int, number: int = 1) -> dict:
@@ -73,12 +77,29 @@ def fetch(url: str, blocks: list[int], mode: int, timeout: float = 30.0, threads
         return [row for part in parts for row in part]
 
 
-def fetch_with_reserve(url: str, reserve: str | None, blocks: list[int], mode: int, timeout: float = 30.0) -> list[tuple]:
+def fetch_with_reserve(url: str, reserve: str | None, blocks: list[int], mode: int, timeout: float = 30.0, patience: float = 0.0) -> list[tuple]:
+    """Raw rows of some blocks; those of which a response failed come from the reserve.
+
+    With ``patience`` the node itself is asked for them again first, and both until they are complete or so many seconds are over;
+    ``math.inf`` waits without an end.
+    """
     rows = fetch(url, blocks, mode, timeout)
-    down = sorted({r[0] for r in rows if r[3]})
-    if down and reserve:
-        rows = [r for r in rows if r[0] not in set(down)] + fetch(reserve, down, mode, timeout)
-    return rows
+    end, pause, again = time.monotonic() + patience, RETRY_S, patience > 0
+
+    def replaced(source: str) -> list[tuple]:
+        down = {r[0] for r in rows if r[3]}
+        return [r for r in rows if r[0] not in down] + fetch(source, sorted(down), mode, timeout) if down else rows
+
+    while True:
+        if again and any(r[3] for r in rows):
+            time.sleep(pause)
+            rows = replaced(url)
+        if reserve:
+            rows = replaced(reserve)
+        pause = min(2 * pause, RETRY_MAX_S)
+        again = time.monotonic() + pause < end
+        if not again or not any(r[3] for r in rows):
+            return rows
 
 
 class _Slice(InputPartition):

@@ -1,7 +1,8 @@
 """Streaming runs: the same transform in ``foreachBatch``.
 
 Catch-up and live are one stream from the first block on: the checkpoint holds the offset, the sink replaces a batch's
-partition, so a replayed batch changes nothing.  Blocks that can't be had become dead-letter rows and stay gaps.
+partition, so a replayed batch changes nothing.  A live block that isn't complete yet is asked for again and holds its batch,
+and so the committed offset; blocks that can't be had within the stream's patience become dead-letter rows and stay gaps.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 from blockweave.operators import decode, sinks
 from blockweave.schemas import RAW
 
+#: Seconds for which a live block that isn't complete is asked for again.
+PATIENCE_S = 15.0
+
 
 def heads_to_process(heads: DataFrame, cursor: int, to_block: int) -> DataFrame:
     """Block numbers after the cursor, up to the end, each once."""
@@ -52,8 +56,11 @@ def run(raw: DataFrame, root: str, available_now: bool = True, interval: str = "
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
 
 
-def from_node(spark: SparkSession, url: str, first: int, last: int | None = None, ws_url: str | None = None, reserve_url: str | None = None) -> DataFrame:
-    """Raw rows of a live node: heads advance the offset, executors fetch the blocks."""
+def from_node(spark: SparkSession, url: str, first: int, last: int | None = None, ws_url: str | None = None, reserve_url: str | None = None, patience: float = PATIENCE_S) -> DataFrame:
+    """Raw rows of a live node: heads advance the offset, executors fetch the blocks and wait ``patience`` seconds for incomplete ones.
+
+    With a patience of ``math.inf`` no block is passed that isn't complete.
+    """
     from blockweave.sources import heads, rpc
 
     spark.dataSource.register(heads.HeadsDataSource)
@@ -68,7 +75,7 @@ def from_node(spark: SparkSession, url: str, first: int, last: int | None = None
 
         for batch in batches:
             numbers = batch.column("block_num").to_pylist()
-            rows = rpc.fetch_with_reserve(url, reserve_url, numbers, 0) if numbers else []
+            rows = rpc.fetch_with_reserve(url, reserve_url, numbers, 0, patience=patience) if numbers else []
             columns = list(zip(*rows, strict=True)) or [[], [], [], []]
             yield pa.record_batch([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.bool_())], names=["block_num", "method", "body", "failed"])
 

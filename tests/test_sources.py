@@ -14,6 +14,7 @@ import pytest
 
 from blockweave.operators import decode, sinks, transform
 from blockweave.plans import historical
+from blockweave.schemas import METHODS
 from blockweave.sources import dump, heads, rpc
 from blockweave.streaming import realtime
 
@@ -87,6 +88,45 @@ def test_polled_stream(spark, node, tmp_path):
     assert sorted(r["number"] for r in sinks.read_table(spark, root, "blocks").collect()) == [n for n in range(20, 28) if n != 21]
 
 
+class Late:
+    """Blocks that a node has only after it was asked for them some times."""
+
+    def __init__(self, numbers, times):
+        self.left = dict.fromkeys(numbers, times)
+
+    def __contains__(self, number):
+        self.left[number] = self.left.get(number, 0) - 1
+        return self.left[number] >= 0
+
+
+def failed(rows):
+    return {r[0] for r in rows if r[3]}
+
+
+@pytest.mark.parametrize("mode", rpc.FETCH_MODES)
+def test_a_late_block_is_fetched_again(node, mode):
+    url = node(Late({21}, 7))  # two rounds of three calls, and one response of the third
+    assert failed(rpc.fetch_with_reserve(url, None, [20, 21, 22], mode)) == {21}
+    rows = rpc.fetch_with_reserve(url, None, [20, 21, 22], mode, patience=10)
+    assert not failed(rows) and sorted((r[0], r[1]) for r in rows) == sorted((b, m) for b in (20, 21, 22) for m in METHODS)
+    rows = rpc.fetch_with_reserve(node(Late({21, 22}, 4)), node({21}), [20, 21, 22], mode, patience=10)
+    assert not failed(rows) and len(rows) == 9
+
+
+def test_patience_ends(node):
+    begin = time.time()
+    assert failed(rpc.fetch_with_reserve(node({21}), node({21}), [20, 21], 0, patience=0.5)) == {21}
+    assert time.time() - begin < 5
+
+
+def test_a_stream_waits_for_late_blocks(spark, node, tmp_path):
+    root = str(tmp_path / "t")
+    query = realtime.run(realtime.from_node(spark, node(Late({20, 21, 27}, 8)), 20, 27), root)
+    assert query.awaitTermination(60)
+    assert sorted(r["number"] for r in sinks.read_table(spark, root, "blocks").collect()) == list(range(20, 28))
+    assert spark.read.schema("block_num LONG, methods STRING").parquet(f"{root}/dead_letters").count() == 0
+
+
 def test_pushed_heads():
     server = socket.create_server(("127.0.0.1", 0))
 
