@@ -22,6 +22,12 @@ def write_partition(table: DataFrame, path: str, batch: int, order: str | None =
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
+def write_partitions(table: DataFrame, path: str, order: str | None = None) -> None:
+    """Replaces the partitions of all batches in the table's column ``batch``, a file each."""
+    rows = table.repartition("batch").sortWithinPartitions("batch", *(["chunk", order] if order else []))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
 def write_batch(decoded: DataFrame, root: str, batch: int, chunk_size: int = 1000, remap_mod: int = 0) -> None:
     """All tables of a batch at once from one parse, then its markers; any failure leaves the markers unwritten."""
     decoded = decoded.persist()

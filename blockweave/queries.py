@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from blockweave.functions import hexnum as H
 from blockweave.functions import uint256 as U
 from blockweave.operators import completions, decode, metrics, sinks, transform, verify
-from blockweave.plans import historical
+from blockweave.plans import historical, reload
 from blockweave.plans.workspace import shared_dir
 from blockweave.schemas import BLOCK_METHOD, DUMP_TABLES, RECEIPTS_METHOD, TRACES_METHOD
 from blockweave.sources import bridge, dump
@@ -510,8 +510,10 @@ def completed_blocks_only(spark, d):
 
 
 def _reload(spark, rows: DataFrame) -> DataFrame:
-    """Rows by table after dump rows were loaded into tables."""
-    return rows.groupBy("table_id").agg(F.count("*").alias("n_rows"), F.countDistinct("batch_id").alias("n_batches"))
+    """Rows and batches of the stored tables after dump rows were loaded into them."""
+    root = shared_dir(spark, "tables")
+    reload.load(rows, root)
+    return reload.counts(spark, root)
 
 
 _LOADED = _DUMPED + "SELECT table_id, count(*) AS n_rows, count(DISTINCT batch_id) AS n_batches FROM dumped GROUP BY ALL"

@@ -174,6 +174,24 @@ def _list(x: Column) -> Column:
     return F.unhex(F.concat(F.lpad(F.hex(F.size(x).cast("long")), 8, "0"), F.array_join(parts, "")))
 
 
+def _texts(b: Column) -> Column:
+    """The list of texts that ``_list`` encoded."""
+    h = F.hex(b)
+
+    def number(at: Column) -> Column:
+        return F.conv(F.substring(h, at, F.lit(8)), 16, 10).cast("int")
+
+    def item(held: Column, _: Column) -> Column:
+        size = 2 * number(held["at"])
+        text = F.decode(F.unhex(F.substring(h, held["at"] + 8, size)), "UTF-8")
+        return F.struct((held["at"] + 8 + size).alias("at"), F.concat(held["texts"], F.array(text)).alias("texts"))
+
+    start = F.struct(F.lit(9).alias("at"), F.array().cast("array<string>").alias("texts"))
+    n = number(F.lit(1))
+    items = F.when(n > 0, F.sequence(F.lit(1), n)).when(n == 0, F.array().cast("array<int>"))
+    return F.aggregate(items, start, item, lambda held: held["texts"])
+
+
 def to_values(table: DataFrame, name: str, batch: Column) -> DataFrame:
     """Rows (batch_id, table_id, vals) of a data table; quantities come as two's complement bytes (``uint256.varint``)."""
     out = []
@@ -194,7 +212,7 @@ def to_values(table: DataFrame, name: str, batch: Column) -> DataFrame:
 
 
 def from_values(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    """A data table's rows from dump rows; lists come back as their number of texts followed by the texts."""
+    """A data table's rows from dump rows."""
     out = []
     for i, (column, kind) in enumerate(zip(columns, _KINDS[name].split(), strict=True)):
         b = F.get("vals", F.lit(i))
@@ -205,7 +223,7 @@ def from_values(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
         elif kind == "b":
             value = F.hex(b) != "00"
         elif kind == "l":
-            value = F.hex(b)
+            value = _texts(b)
         else:
             value = F.decode(b, "UTF-8")
         out.append(value.alias(column))
