@@ -190,6 +190,13 @@ def test_blocks_of_items_agree(spark, docs, corpus, monkeypatch):
     assert decontaminate.search(docs([]), table).count() == decontaminate.search(docs(corpus), table.limit(0)).count() == 0
 
 
+def test_rows_of_null_and_repeated_ids_are_judged_alone(spark):
+    rows = [(None, "one two three four five six"), (None, "quite clean"), (7, "one two three four five six"), (7, "clean too"), (8, None)]
+    items = spark.createDataFrame([(1, "one two three four five")], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert sorted(str(tuple(r)) for r in kept.collect()) == ["(7, 'clean too')", "(8, None)", "(None, 'quite clean')"]
+
+
 @pytest.mark.parametrize("n", range(1, 200))
 def test_sketches_reach_every_containment(n):
     """With all that may lack lacking, a hash of the sketch is there, or the sketch is long enough."""
