@@ -17,16 +17,22 @@ def result(body: Column | str, method: str) -> Column:
 
 
 def assemble(raw: DataFrame) -> DataFrame:
-    """block_num, the three bodies and err, one row a block: one shuffle of the bodies by block."""
+    """block_num, the three bodies and any_failed, one row a block, from rows of a response each.
+
+    One shuffle of the bodies by block; sources that have a block's responses together give this form themselves.
+    """
+    if "block_body" in raw.columns:
+        return raw
     body = [F.max(F.when((F.col("method") == m) & ~F.col("failed"), F.col("body"))).alias(f"{FIELDS[m]}_body") for m in METHODS]
     return raw.groupBy("block_num").agg(*body, F.max("failed").alias("any_failed"))
 
 
 def decode(assembled: DataFrame) -> DataFrame:
-    """block_num, block, receipts, traces and err: a block is in error if a call failed or a result is null."""
-    typed = assembled.select("block_num", "any_failed", *[result(f"{FIELDS[m]}_body", m).alias(FIELDS[m]) for m in METHODS])
+    """block_num, block, receipts, traces and err: a block is in error if a call failed or a result is null; also fetch_ms if it is there."""
+    more = [c for c in ("fetch_ms",) if c in assembled.columns]
+    typed = assembled.select("block_num", "any_failed", *more, *[result(f"{FIELDS[m]}_body", m).alias(FIELDS[m]) for m in METHODS])
     missing = F.col("block").isNull() | F.col("receipts").isNull() | F.col("traces").isNull()
-    return typed.select("block_num", "block", "receipts", "traces", (F.col("any_failed") | missing).alias("err"))
+    return typed.select("block_num", "block", "receipts", "traces", (F.col("any_failed") | missing).alias("err"), *more)
 
 
 def valid(decoded: DataFrame) -> DataFrame:

@@ -11,7 +11,10 @@ LISTED = 30
 
 
 def in_range(markers: DataFrame, first: int, last: int, chunk_size: int = 1000, remap_mod: int = 0) -> DataFrame:
-    """Markers of a range; in linear mode the chunk's own range is added as a predicate, so that partitions are pruned."""
+    """Markers of a range; in linear mode also by the chunk's own range.
+
+    Markers that are read for the range (``sinks.read_table`` with first and last) come from the range's folders alone.
+    """
     rows = markers.where(F.col("block_number").between(first, last))
     return rows if remap_mod else rows.where(F.col("chunk").between(first // chunk_size, last // chunk_size))
 

@@ -1,7 +1,4 @@
-"""Reload of dumps: the six tables, then the markers, through the sinks.
-
-Every dump batch owns one partition of each table (``batch`` = its id), so that loading it again changes nothing.
-"""
+"""Reload of dumps: the six tables, then the markers, through the sinks, which replace blocks by number: loading again changes nothing."""
 
 from __future__ import annotations
 
@@ -16,20 +13,23 @@ from blockweave.sources import dump
 
 
 def tables(rows: DataFrame) -> dict[str, DataFrame]:
-    """The six tables of dump rows, with the column ``batch``."""
+    """The six tables of dump rows."""
     out = {}
     for name in DUMP_TABLES:
         columns = [c.split()[0] for c in TABLES[name].split(", ")]
-        out[name] = dump.from_values(rows, name, columns).select(*columns, F.col("batch_id").alias("batch"))
+        out[name] = dump.from_values(rows, name, columns).select(*columns)
     return out
 
 
 def _write(rows: DataFrame, root: str) -> None:
     found = tables(rows)
-    for name, df in found.items():
-        sinks.write_partitions(df, f"{root}/{name}", {"blocks": "number", "contracts_by_addresses": None}.get(name, "block_number"))
-    owner = found["blocks"].select(F.col("number").alias("block_number"), "batch")
-    sinks.write_partitions(completions.from_tables(found).join(owner, "block_number"), f"{root}/block_completions", "block_number")
+    done = found["blocks"].select(F.col("number").alias("block_num")).persist()
+    try:
+        ends = done.agg(F.min("block_num"), F.max("block_num")).first()
+        if ends[0] is not None:
+            sinks.write_tables(found, completions.from_tables(found), root, done, *ends)
+    finally:
+        done.unpersist()
 
 
 def _ids(rows: DataFrame) -> list[int]:
@@ -82,9 +82,9 @@ def paced(rows: DataFrame, root: str, interval: str = "500 milliseconds") -> Non
 
 
 def counts(spark: SparkSession, root: str) -> DataFrame:
-    """Rows and batches of each stored table that has any."""
+    """Rows and blocks of each stored table that has any."""
     result = None
     for i, name in enumerate(DUMP_TABLES):
-        stored = spark.read.schema(f"{TABLES[name]}, batch LONG").parquet(f"{root}/{name}").select(F.lit(i).alias("table_id"), "batch")
+        stored = sinks.read_table(spark, root, name).select(F.lit(i).alias("table_id"), F.col(sinks.number_of(name)).alias("block_num"))
         result = stored if result is None else result.unionByName(stored)
-    return result.groupBy("table_id").agg(F.count("*").alias("n_rows"), F.countDistinct("batch").alias("n_batches"))
+    return result.groupBy("table_id").agg(F.count("*").alias("n_rows"), F.countDistinct("block_num").alias("n_blocks"))

@@ -8,7 +8,7 @@ from blockweave.operators import sinks, verify
 
 
 def run(spark: SparkSession, root: str, first: int, last: int, chunk_size: int = 1000, remap_mod: int = 0) -> dict[str, DataFrame]:
-    markers = sinks.read_table(spark, root, "block_completions")
+    markers = sinks.read_table(spark, root, "block_completions", first, last)
     missing = verify.gaps(spark, markers, first, last, chunk_size, remap_mod)
-    tables = {name: sinks.read_table(spark, root, name) for name in ("blocks", "transactions", "logs", "internal_transactions", "contracts")}
+    tables = {name: sinks.read_table(spark, root, name, first, last) for name in ("blocks", "transactions", "logs", "internal_transactions", "contracts")}
     return {"chunks": verify.chunk_counts(spark, markers, first, last, chunk_size, remap_mod), "gaps": missing, "report": verify.report(missing), "data": verify.data_counts(markers, tables)}

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from blockweave.functions import hexnum as H
 from blockweave.functions import uint256 as U
-from blockweave.operators import completions, decode, metrics, sinks, transform, verify
+from blockweave.operators import completions, decode, metrics, sinks, store, transform, verify
 from blockweave.plans import historical, reload
 from blockweave.plans.workspace import shared_dir
-from blockweave.schemas import BLOCK_METHOD, DUMP_TABLES, RECEIPTS_METHOD, TRACES_METHOD
+from blockweave.schemas import BLOCK_METHOD, DUMP_TABLES, RECEIPTS_METHOD, TABLES, TRACES_METHOD
 from blockweave.sources import bridge, dump
 from blockweave.streaming import realtime
 
@@ -150,10 +150,10 @@ def cursor_start(spark, d):
     return completions.start(completions.cursor(transform.blocks(_decoded(spark, d))), _range(spark, d)[0])
 
 
-@query("completions_range_scan", "SELECT mk.* FROM mk, rng WHERE block_number BETWEEN first + 20 AND first + 120")
+@query("completions_range_scan", "SELECT mk.* FROM mk, rng WHERE block_number BETWEEN first + (last - first) // 4 AND last - (last - first) // 4")
 def completions_range_scan(spark, d):
-    first = _range(spark, d)[0]
-    return verify.in_range(completions.markers(_decoded(spark, d)), first + 20, first + 120)
+    first, last = _range(spark, d)
+    return verify.in_range(completions.markers(_decoded(spark, d)), first + (last - first) // 4, last - (last - first) // 4)
 
 
 query("completions_ordered", "SELECT * FROM mk")(lambda spark, d: completions.markers(_decoded(spark, d)).repartition("chunk").sortWithinPartitions("chunk", "block_number"))
@@ -468,7 +468,7 @@ query("dump_rechunk", _DUMPED + "SELECT table_id, (block % 16)::INT AS chunk, co
 
 def _reloaded(spark, d) -> DataFrame:
     """Dump rows after a round through dump files."""
-    path = shared_dir(spark, "dump").removeprefix("file:")
+    path = shared_dir(spark, "dump")
     dump.write(_dump_rows(spark, d), path)
     return dump.read(spark, path)
 
@@ -478,10 +478,7 @@ _ROUND = "SELECT hash, block_number, transaction_index, value, input, to_address
 
 @query("dump_roundtrip", _ROUND)
 def dump_roundtrip(spark, d):
-    from blockweave.schemas import TABLES
-
-    names = [c.split()[0] for c in TABLES["transactions"].replace("DECIMAL(38,0)", "DECIMAL").split(", ")]
-    back = dump.from_values(_reloaded(spark, d), "transactions", names)
+    back = dump.from_values(_reloaded(spark, d), "transactions", _names("transactions"))
     return _plain(back.select("hash", "block_number", "transaction_index", "value", "input", "to_address", "status", "type"))
 
 
@@ -500,6 +497,60 @@ _COUNTS = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows
 query("sink_row_counts", _COUNTS)(lambda spark, d: sinks.row_counts(spark, _stored(spark, d)))
 query("sink_idempotent", _COUNTS)(lambda spark, d: sinks.row_counts(spark, _stored(spark, d, twice=True)))
 
+_VIEWS = {"blocks": ("bk", "*"), "transactions": ("tx", _TX), "logs": ("lg", _LOG), "internal_transactions": ("itx", "*"), "contracts": ("ct", "*"), "contracts_by_addresses": ("cba", "*"), "block_completions": ("mk", "*")}
+
+
+def _names(table: str) -> list[str]:
+    return [c.split()[0] for c in TABLES[table].replace("DECIMAL(38,0)", "DECIMAL").split(", ")]
+
+
+def _checked_sql(table: str) -> str:
+    view, columns = _VIEWS[table]
+    text = ", ".join(f"coalesce({c}::VARCHAR, '~')" for c in _names(table))
+    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, coalesce(sum(('0x' || substr(md5(concat_ws('|', {text})), 1, 8))::BIGINT), 0)::BIGINT AS checksum FROM (SELECT {columns} FROM {view})"
+
+
+#: Number of rows and a sum over all values of each stored table.
+_CHECKED = " UNION ALL ".join(map(_checked_sql, TABLES))
+
+
+def _checked(spark, root: str) -> DataFrame:
+    result = None
+    for name in TABLES:
+        stored = _plain(sinks.read_table(spark, root, name)).select(*_names(name))
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in stored.columns])
+        one = stored.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.coalesce(F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")), F.lit(0)).alias("checksum"))
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
+query("sink_tables", _CHECKED)(lambda spark, d: _checked(spark, _stored(spark, d)))
+
+
+@query("sink_rebatched", _CHECKED)
+def sink_rebatched(spark, d):
+    """The same range again with other bounds of batches, and a part of it once more: every block's rows are there once."""
+    root, (first, last) = shared_dir(spark, "tables"), _range(spark, d)
+    raw, n = bridge.raw(spark, d), last - first + 1
+    for low, high, size in ((first, last, -(-n // 2)), (first, last, n), (first + n // 3, last - n // 5, n)):
+        historical.run(spark, raw, root, low, high, size)
+    return _checked(spark, root)
+
+
+@query("stored_range_scan", "SELECT tx.block_number, transaction_index, hash FROM tx, rng WHERE block_number BETWEEN first + (last - first) // 4 AND last - (last - first) // 4")
+def stored_range_scan(spark, d):
+    """A keyed read of stored transactions: only the range's folders are read."""
+    first, last = _range(spark, d)
+    rows = sinks.read_table(spark, _stored(spark, d), "transactions", first + (last - first) // 4, last - (last - first) // 4)
+    return rows.select("block_number", "transaction_index", "hash")
+
+
+@query("run_report", "SELECT first AS from_block, last AS to_block, (SELECT count(*) FROM mk) AS total_blocks, last - first + 1 - (SELECT count(*) FROM mk) AS missing_blocks, 2 AS total_batches, (SELECT sum(tx_count)::BIGINT FROM mk) AS tx, (SELECT sum(log_count)::BIGINT FROM mk) AS log, (SELECT sum(itx_count)::BIGINT FROM mk) AS itx, (SELECT sum(contract_count)::BIGINT FROM mk) AS contract FROM rng")
+def run_report(spark, d):
+    """What the JSON report of a historical run says, but for its timings."""
+    report = spark.read.option("multiLine", True).json(f"{_stored(spark, d)}/reports")
+    return report.select("from_block", "to_block", "total_blocks", "missing_blocks", F.col("total_batches").cast("int").alias("total_batches"), "rows.tx", "rows.log", "rows.itx", "rows.contract")
+
 
 @query("completed_blocks_only", "SELECT t.block_number, transaction_index, hash FROM tx t WHERE block_number % 7 <> 0")
 def completed_blocks_only(spark, d):
@@ -509,15 +560,37 @@ def completed_blocks_only(spark, d):
     return completions.completed_only(transform.transactions(decoded), done).select("block_number", "transaction_index", "hash")
 
 
-def _reload(spark, rows: DataFrame) -> DataFrame:
+def _reload(spark, d) -> DataFrame:
     """Rows and batches of the stored tables after dump rows were loaded into them."""
-    root = shared_dir(spark, "tables")
-    reload.load(rows, root)
-    return reload.counts(spark, root)
+    root, first = shared_dir(spark, "tables"), _range(spark, d)[0]
+    reload.load(_reloaded(spark, d), root)
+    result = None
+    for i, name in enumerate(DUMP_TABLES):
+        batch = F.floor((F.col(sinks.number_of(name)) - first) / _BATCH)
+        stored = sinks.read_table(spark, root, name).select(F.lit(i).alias("table_id"), batch.alias("batch"))
+        result = stored if result is None else result.unionByName(stored)
+    return result.groupBy("table_id").agg(F.count("*").alias("n_rows"), F.countDistinct("batch").alias("n_batches"))
 
 
 _LOADED = _DUMPED + "SELECT table_id, count(*) AS n_rows, count(DISTINCT batch_id) AS n_batches FROM dumped GROUP BY ALL"
-query("dump_reload", _LOADED)(lambda spark, d: _reload(spark, _reloaded(spark, d)))
+query("dump_reload", _LOADED)(_reload)
+
+
+@query("dump_reload_tables", _CHECKED)
+def dump_reload_tables(spark, d):
+    """All values of all tables after a round through dump files and two loads, at once and in steps."""
+    root, rows = shared_dir(spark, "tables"), _reloaded(spark, d)
+    reload.load(rows, root)
+    reload.load(dump.merged(rows, 100), root, 1)
+    return _checked(spark, root)
+
+
+@query("dump_paced", _CHECKED)
+def dump_paced(spark, d):
+    """The same, loaded a batch at a time by a stream."""
+    root = shared_dir(spark, "tables")
+    reload.paced(dump.merged(_reloaded(spark, d), 100), root, "100 milliseconds")
+    return _checked(spark, root)
 
 
 def _stream(spark, d, files: int, per_trigger: int = 1, **options) -> str:
@@ -536,13 +609,43 @@ def rt_single_block(spark, d):
 
 query("rt_catchup_union", _COUNTS)(lambda spark, d: sinks.row_counts(spark, _stream(spark, d, 4, 2)))
 query("rt_poll_sequence", "SELECT number AS block_number FROM bk")(lambda spark, d: sinks.read_table(spark, _stream(spark, d, 3), "block_completions").select("block_number"))
-query("rt_head_filter", "SELECT DISTINCT block_num FROM (" + _HEAD + ") WHERE block_num > 25078010 AND block_num <= 25078300")(
-    lambda spark, d: realtime.heads_to_process(_heads(spark, d).select(decode.head_number("message").alias("block_num")), 25078010, 25078300).select("block_num")
-)
+@query("rt_overlap", _CHECKED)
+def rt_overlap(spark, d):
+    """History of the first two thirds, then a stream over the last two thirds into the same tables."""
+    source, root, (first, last) = shared_dir(spark, "incoming"), shared_dir(spark, "tables"), _range(spark, d)
+    raw, third = bridge.raw(spark, d), (last - first + 1) // 3
+    historical.run(spark, raw, root, first, last - third, third)
+    raw.where(F.col("block_num") >= first + third).repartitionByRange(2, "block_num").write.parquet(source)
+    realtime.run(realtime.from_files(spark, source), root).awaitTermination()
+    return _checked(spark, root)
+
+
+@query("rt_restart", _CHECKED)
+def rt_restart(spark, d):
+    """A stream that stops, goes on from its checkpoint with more blocks, and is begun anew without one."""
+    source, root, (first, last) = shared_dir(spark, "incoming"), shared_dir(spark, "tables"), _range(spark, d)
+    raw, middle = bridge.raw(spark, d), (first + last) // 2
+    for part in (F.col("block_num") <= middle, F.col("block_num") > middle):
+        raw.where(part).coalesce(1).write.mode("append").parquet(source)
+        realtime.run(realtime.from_files(spark, source), root).awaitTermination()
+    store.delete(spark, f"{root}/_checkpoint")
+    realtime.run(realtime.from_files(spark, source, 2), root).awaitTermination()
+    return _checked(spark, root)
+
+
+_WINDOW = "(SELECT min(block_num) + (max(block_num) - min(block_num)) // 4 AS low, max(block_num) - (max(block_num) - min(block_num)) // 4 AS high FROM (" + _HEAD + "))"
+
+
+def _head_window(spark, d) -> tuple[DataFrame, int, int]:
+    """Head numbers, and the middle half of their range."""
+    numbers = _heads(spark, d).select(decode.head_number("message").alias("block_num"))
+    low, high = numbers.agg(F.min("block_num"), F.max("block_num")).first()
+    return numbers, low + (high - low) // 4, high - (high - low) // 4
+
+
+query("rt_head_filter", f"SELECT DISTINCT block_num FROM ({_HEAD}), {_WINDOW} w WHERE block_num > low AND block_num <= high")(lambda spark, d: realtime.heads_to_process(*_head_window(spark, d)).select("block_num"))
 query("rt_dedupe_heads", "SELECT DISTINCT block_num FROM (" + _HEAD + ")")(lambda spark, d: realtime.heads_to_process(_heads(spark, d).select(decode.head_number("message").alias("block_num")), 0, 2**40).select("block_num"))
-query("rt_fill_heads", "SELECT unnest(range(25078011, least((SELECT max(block_num) FROM (" + _HEAD + ")), 25078300) + 1)) AS block_num")(
-    lambda spark, d: realtime.fill_heads(_heads(spark, d).select(decode.head_number("message").alias("block_num")), 25078010, 25078300)
-)
+query("rt_fill_heads", f"SELECT unnest(range(low + 1, high + 1)) AS block_num FROM {_WINDOW} w")(lambda spark, d: realtime.fill_heads(*_head_window(spark, d)))
 query("rt_unavailable", "SELECT block AS block_num, 'eth_getBlockByNumber,eth_getBlockReceipts,trace_block' AS methods FROM allb WHERE failed")(lambda spark, d: realtime.unavailable(bridge.raw(spark, d)))
 
 

@@ -18,6 +18,8 @@ RESULT = {BLOCK_METHOD: BLOCK, RECEIPTS_METHOD: f"ARRAY<{RECEIPT}>", TRACES_METH
 
 #: Raw responses: one row for each block and method.
 RAW = "block_num LONG, method STRING, body STRING, failed BOOLEAN"
+#: The same as one row a block, in the order of the methods, with the milliseconds of the fetch it came with.
+WIDE = "block_num LONG, block_body STRING, receipts_body STRING, traces_body STRING, any_failed BOOLEAN, fetch_ms DOUBLE"
 
 #: Columns and types of the output tables.
 TABLES = {

@@ -2,12 +2,12 @@
 
 A file is a six-byte magic, then batches: ``FF 00``, batch id and number of rows (big-endian u32 each), then rows: table
 id (u8), number of values (u16), length (u32), and the values, each a big-endian i32 length (-1 for null) and its bytes.
-One file is one input partition; the writer makes one file a task, so that reading and writing are parallel by files.
+One file is one input partition; the writer makes one file a task, so that reading and writing are parallel by files.  Paths go
+through Arrow's file systems (local, ``hdfs://``, ``s3://``, ``gs://``); files are read and written as streams.
 """
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 from collections.abc import Iterator
@@ -61,17 +61,32 @@ class _File(InputPartition):
         self.path = path
 
 
+def _place(path: str):
+    """Arrow's file system and the path in it."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:") :].lstrip("/")
+    return (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
+
+
+def _dumps(system, path: str) -> list[str]:
+    from pyarrow import fs
+
+    if system.get_file_info(path).type != fs.FileType.Directory:
+        return [path]
+    return sorted(f.path for f in system.get_file_info(fs.FileSelector(path)) if f.path.endswith(".dump"))
+
+
 class _Reader(DataSourceReader):
     def __init__(self, path: str):
         self.path = path
 
     def partitions(self):
-        if os.path.isdir(self.path):
-            return [_File(os.path.join(self.path, f)) for f in sorted(os.listdir(self.path)) if f.endswith(".dump")]
-        return [_File(self.path)]
+        return [_File(f) for f in _dumps(*_place(self.path))]
 
     def read(self, partition):
-        with open(partition.path, "rb") as f:
+        with _place(self.path)[0].open_input_stream(partition.path) as f:
             yield from decode(f)
 
 
@@ -80,9 +95,10 @@ class _Writer(DataSourceWriter):
         self.path, self.overwrite = path, overwrite
 
     def write(self, rows):
-        os.makedirs(self.path, exist_ok=True)
-        name = os.path.join(self.path, f"part-{uuid.uuid4().hex}.tmp")
-        with open(name, "wb") as f:
+        system, path = _place(self.path)
+        system.create_dir(path, recursive=True)
+        name = f"{path}/part-{uuid.uuid4().hex}.tmp"
+        with system.open_output_stream(name) as f:
             f.write(MAGIC)
             held, of = [], None
             for row in rows:  # sorted by batch within a task
@@ -98,22 +114,25 @@ class _Writer(DataSourceWriter):
         return message
 
     def commit(self, messages):
+        system, path = _place(self.path)
         new = [m.name for m in messages if m is not None]
-        if self.overwrite:
-            for f in os.listdir(self.path):
-                if f.endswith(".dump"):
-                    os.remove(os.path.join(self.path, f))
+        if self.overwrite and new:
+            for f in _dumps(system, path):
+                system.delete_file(f)
         for name in new:
-            os.replace(name, name[: -len(".tmp")] + ".dump")
+            system.move(name, name[: -len(".tmp")] + ".dump")
 
     def abort(self, messages):
+        from pyarrow import fs
+
+        system = _place(self.path)[0]
         for m in messages:
-            if m is not None and os.path.exists(m.name):
-                os.remove(m.name)
+            if m is not None and system.get_file_info(m.name).type == fs.FileType.File:
+                system.delete_file(m.name)
 
 
 class DumpDataSource(DataSource):
-    """``spark.read.format("block_dump").load(path)``; the path must be mounted on all executors."""
+    """``spark.read.format("block_dump").load(path)``; executors and driver must reach the path."""
 
     @classmethod
     def name(cls):

@@ -1,22 +1,28 @@
 """A node's JSON-RPC interface as a Python data source: raw rows of a range of blocks.
 
 Every partition is a slice of the range; a task fetches its slice with a small thread pool.  Fetch mode 0 sends three single
-requests a block, 1 one array request for each method and slice, 2 one array request a block.  Blocks that fail are
+requests a block, 1 one array request for each method and slice, 2 one array request a block.  Answers pass through as the node
+sent them, array answers cut into their elements; a parse only tells whether there is a result.  Blocks that fail are
 fetched again from the reserve, without a limit, and live ones before that from the node itself, until their patience ends;
 what still fails comes as rows with ``failed``.
+
+Rows are a block's response each (``RAW``), or with the option ``wide`` a block with its three responses (``WIDE``), which
+is what a run decodes: they come from one task, so that bodies don't have to meet in a shuffle.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.request
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from blockweave.schemas import METHODS, RAW
+from blockweave.schemas import METHODS, RAW, WIDE
 
 FETCH_MODES = (0, 1, 2)
 #: Seconds before a live block is asked for again: at first, and at most.
@@ -34,21 +40,37 @@ def post(url: str, payload, timeout: float) -> str:
         return answer.read().decode()
 
 
-def _row(block: int, method: str, result) -> tuple:
-    failed = result is None
-    return block, method, None if failed else json.dumps({"result": result}, separators=(",", ":"), ensure_ascii=False), failed
+def _row(block: int, method: str, found: tuple | None) -> tuple:
+    """A raw row from (result, text) of an answer."""
+    failed = found is None or found[0] is None
+    return block, method, None if failed else found[1], failed
+
+
+_DECODER = json.JSONDecoder()
+_BETWEEN = re.compile(r"[\s,]*")
+
+
+def elements(text: str) -> Iterator[tuple[object, str]]:
+    """The values of a JSON array, each with its own text."""
+    at = _BETWEEN.match(text).end()
+    if text[at : at + 1] != "[":
+        raise ValueError("no array")
+    at = _BETWEEN.match(text, at + 1).end()
+    while text[at : at + 1] != "]":
+        value, end = _DECODER.raw_decode(text, at)
+        yield value, text[at:end]
+        at = _BETWEEN.match(text, end).end()
 
 
 def _array(url: str, calls: list[dict], timeout: float) -> dict:
-    """Results by id; the first of equal ids counts."""
+    """Result and text of each answer by id; the first of equal ids counts."""
+    out: dict = {}
     try:
-        answers = json.loads(post(url, calls, timeout))
+        for a, text in elements(post(url, calls, timeout)):
+            if isinstance(a, dict) and a.get("result") is not None:
+                out.setdefault(a.get("id"), (a["result"], text))
     except (OSError, ValueError):
-        return {}
-    out: dict = {}
-    for a in answers if isinstance(answers, list) else []:
-        if isinstance(a, dict) and a.get("result") is not None:
-            out.setdefault(a.get("id"), a["result"])
+        pass
     return out
 
 
@@ -58,7 +80,8 @@ def fetch(url: str, blocks: list[int], mode: int, timeout: float = 30.0, threads
     def single(key):
         block, method = key
         try:
-            return _row(block, method, json.loads(post(url, call(method, block), timeout)).get("result"))
+            text = post(url, call(method, block), timeout)
+            return _row(block, method, (json.loads(text).get("result"), text))
         except (OSError, ValueError, AttributeError):
             return _row(block, method, None)
 
@@ -77,6 +100,14 @@ def fetch(url: str, blocks: list[int], mode: int, timeout: float = 30.0, threads
         return [row for part in parts for row in part]
 
 
+def wide(rows: list[tuple], ms: float) -> list[tuple]:
+    """One row a block from its raw rows: the bodies in the order of the methods, whether one failed, and the milliseconds of the fetch."""
+    held: dict = {}
+    for block, method, body, _ in rows:
+        held.setdefault(block, {})[method] = body
+    return [(block, *(got.get(m) for m in METHODS), any(got.get(m) is None for m in METHODS), ms) for block, got in sorted(held.items())]
+
+
 def fetch_with_reserve(url: str, reserve: str | None, blocks: list[int], mode: int, timeout: float = 30.0, patience: float = 0.0) -> list[tuple]:
     """Raw rows of some blocks; those of which a response failed come from the reserve.
 
@@ -112,7 +143,7 @@ class _Reader(DataSourceReader):
         self.url, self.reserve = options["url"], options.get("reserveUrl") or None
         self.first, self.last = int(options["fromBlock"]), int(options["toBlock"])
         self.mode, self.size = int(options.get("fetchMode", 0)), int(options.get("batchSize", 10))
-        self.timeout = float(options.get("timeout", 30))
+        self.timeout, self.wide = float(options.get("timeout", 30)), str(options.get("wide", "")).lower() == "true"
         if self.mode not in FETCH_MODES:
             raise ValueError(f"fetchMode is one of {FETCH_MODES}")
 
@@ -120,7 +151,9 @@ class _Reader(DataSourceReader):
         return [_Slice(a, min(a + self.size - 1, self.last)) for a in range(self.first, self.last + 1, self.size)]
 
     def read(self, part):
-        yield from fetch_with_reserve(self.url, self.reserve, list(range(part.first, part.last + 1)), self.mode, self.timeout)
+        began = time.perf_counter()
+        rows = fetch_with_reserve(self.url, self.reserve, list(range(part.first, part.last + 1)), self.mode, self.timeout)
+        yield from wide(rows, 1000 * (time.perf_counter() - began)) if self.wide else rows
 
 
 class RpcDataSource(DataSource):
@@ -129,13 +162,13 @@ class RpcDataSource(DataSource):
         return "block_rpc"
 
     def schema(self):
-        return RAW
+        return WIDE if str(self.options.get("wide", "")).lower() == "true" else RAW
 
     def reader(self, schema):
         return _Reader(self.options)
 
 
-def read(spark: SparkSession, url: str, first: int, last: int, fetch_mode: int = 0, reserve_url: str | None = None, batch_size: int = 10) -> DataFrame:
+def read(spark: SparkSession, url: str, first: int, last: int, fetch_mode: int = 0, reserve_url: str | None = None, batch_size: int = 10, wide: bool = False) -> DataFrame:
     spark.dataSource.register(RpcDataSource)
     return (
         spark.read.format("block_rpc")
@@ -145,5 +178,6 @@ def read(spark: SparkSession, url: str, first: int, last: int, fetch_mode: int =
         .option("toBlock", last)
         .option("fetchMode", fetch_mode)
         .option("batchSize", batch_size)
+        .option("wide", str(wide).lower())
         .load()
     )
