@@ -21,17 +21,23 @@ def significant(h: Column | str) -> Column:
     return F.when(d.rlike("^[0-9a-fA-F]*$"), F.lower(F.regexp_replace(d, "^0+", "")))
 
 
+#: A quantity of up to 64 bits; the group is what follows its leading zeros.
+_SHORT = "^(?:0[xX])?(?=.)0*([0-9a-fA-F]{0,16})$"
+
+
+def _short(h: Column) -> Column:
+    """The value of a text that fits ``_SHORT``, else 0: one match and one conversion."""
+    return F.conv(F.concat(F.lit("0"), F.regexp_extract(h, _SHORT, 1)), 16, -10).cast("long")
+
+
 def hex_to_i64_or_null(h: Column | str) -> Column:
     """Up to 64 bits, reinterpreted as signed; null where it isn't a quantity."""
-    d = digits(h)
-    rest = F.regexp_replace(d, "^0+", "")
-    fits = d.rlike("^[0-9a-fA-F]+$") & (F.length(rest) <= 16)
-    return F.when(fits, F.coalesce(F.conv(F.when(rest != "", rest), 16, -10).cast("long"), F.lit(0).cast("long")))
+    return F.when(_col(h).rlike(_SHORT), _short(_col(h)))
 
 
 def hex_to_i64(h: Column | str) -> Column:
     """As above, 0 where it isn't a quantity."""
-    return F.coalesce(hex_to_i64_or_null(h), F.lit(0).cast("long"))
+    return F.coalesce(_short(_col(h)), F.lit(0).cast("long"))
 
 
 def hex_to_i32(h: Column | str) -> Column:
@@ -40,8 +46,7 @@ def hex_to_i32(h: Column | str) -> Column:
 
 def hex_to_i8(h: Column | str) -> Column:
     """The low byte as a signed byte."""
-    low = hex_to_i64(h).bitwiseAND(F.lit(255))
-    return F.when(low > 127, low - 256).otherwise(low).cast("tinyint")
+    return (hex_to_i64(h).bitwiseAND(F.lit(255)).bitwiseXOR(F.lit(128)) - 128).cast("tinyint")
 
 
 def creation_method(m: Column | str) -> Column:

@@ -12,15 +12,16 @@ DECIMAL_DIGITS = 31
 _PART = 7  # hex digits of a limb: its decimal products stay within 38 digits
 
 
+#: A quantity that fits; the group is what follows its leading zeros.
+_FITS = f"^(?:0[xX])?0*([0-9a-fA-F]{{0,{DECIMAL_DIGITS}}})$"
+
+
 def decimal(h: Column | str) -> Column:
-    """decimal(38, 0) where the value has at most 31 digits, else null."""
-    s = significant(h)
-    padded = F.lpad(s, 35, "0")
-    value = F.lit(0).cast("decimal(38,0)")
-    for i in range(0, 35, _PART):
-        limb = F.conv(F.substring(padded, i + 1, _PART), 16, 10).cast("decimal(10,0)")
-        value = (value + limb * F.lit(str(16 ** (28 - i))).cast(f"decimal({len(str(16 ** (28 - i)))},0)")).cast("decimal(38,0)") if i < 28 else (value + limb).cast("decimal(38,0)")
-    return F.when(F.length(s) <= DECIMAL_DIGITS, value)
+    """decimal(38, 0) where the value has at most 31 digits, else null: two halves of 64 bits."""
+    h = F.col(h) if isinstance(h, str) else h
+    padded = F.lpad(F.regexp_extract(h, _FITS, 1), 32, "0")
+    high, low = (F.conv(F.substring(padded, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17))
+    return F.when(h.rlike(_FITS), (high * F.lit(str(1 << 64)).cast("decimal(20,0)") + low).cast("decimal(38,0)"))
 
 
 def varint(h: Column | str) -> Column:

@@ -10,7 +10,7 @@ from blockweave.operators import transform
 
 def markers(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0) -> DataFrame:
     """One marker a block with its numbers of rows, counted inside the block's row: no shuffle and no join."""
-    pairs = transform.paired(F.col("block.transactions"), F.col("receipts"))
+    pairs = transform._paired(decoded)
     logs = F.aggregate(pairs, F.lit(0), lambda n, p: n + F.greatest(F.coalesce(F.size(p["r"]["logs"]), F.lit(0)), F.lit(0)))
     head = transform.with_matches(decoded, chunk_size, remap_mod, F.size(pairs).alias("tx_count"), logs.alias("log_count"))
     itx = F.size(F.filter("found", lambda x: (F.coalesce(x["action"]["from"], F.lit("")) != "") & x["action"]["value"].isNotNull()))

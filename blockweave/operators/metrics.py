@@ -35,7 +35,7 @@ def phases(durations: DataFrame, phase: str = "phase", ms: str = "ms") -> DataFr
 
 
 #: Parts that a key's values are split into for its percentiles.
-PARTS = 200
+PARTS = 64
 
 
 def percentiles(durations: DataFrame, key: str, value: str, points=(50, 95, 99)) -> DataFrame:

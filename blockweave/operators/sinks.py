@@ -96,7 +96,7 @@ def write_tables(tables: dict[str, DataFrame], markers: DataFrame, root: str, do
 
 def write_batch(decoded: DataFrame, root: str, first: int, last: int, chunk_size: int = 1000, remap_mod: int = 0, max_records: int = 0) -> dict[str, float]:
     """All tables of a batch of blocks from one fetch and parse, then its markers; returns milliseconds of both steps and of fetches."""
-    decoded = decoded.persist()
+    decoded = transform.prepare(decoded).persist()
     try:
         began = time.perf_counter()
         waited = F.col("fetch_ms") if "fetch_ms" in decoded.columns else F.lit(None).cast("double")

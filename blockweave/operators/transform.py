@@ -33,13 +33,25 @@ def paired(transactions: Column, receipts: Column) -> Column:
     return F.zip_with(F.slice(transactions, F.lit(1), n), F.slice(receipts, F.lit(1), n), lambda t, r: F.struct(t.alias("t"), r.alias("r")))
 
 
+def _paired(decoded: DataFrame) -> Column:
+    return F.col("pairs") if "pairs" in decoded.columns else paired(F.col("block.transactions"), F.col("receipts"))
+
+
+def prepare(decoded: DataFrame) -> DataFrame:
+    """Decoded blocks with receipts and traces already joined to their transactions (``pairs``, ``found``), for runs that derive several tables."""
+    more = [c for c in ("fetch_ms",) if c in decoded.columns]
+    head = F.struct("block.number", "block.timestamp", "block.milliTimestamp", "block.miner").alias("block")
+    paired_up = decoded.withColumn("pairs", paired(F.col("block.transactions"), F.col("receipts")))
+    return _matched(paired_up).select("block_num", "err", head, "pairs", "found", *more)
+
+
 def blocks(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0) -> DataFrame:
     head = _head(decoded, chunk_size, remap_mod, F.lower("block.miner").alias("miner"))
     return head.select("chunk", F.col("block_number").alias("number"), F.col("block_timestamp_s").alias("timestamp_s"), F.col("block_timestamp_ms").alias("timestamp_ms"), "miner")
 
 
 def _pairs(decoded: DataFrame, chunk_size: int, remap_mod: int) -> DataFrame:
-    head = _head(decoded, chunk_size, remap_mod, paired(F.col("block.transactions"), F.col("receipts")).alias("pairs"))
+    head = _head(decoded, chunk_size, remap_mod, _paired(decoded).alias("pairs"))
     rows = head.select("chunk", "block_number", "block_timestamp_s", "block_timestamp_ms", F.inline_outer("pairs"))
     return rows.where("t is not null")
 
@@ -98,9 +110,15 @@ def with_matches(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0,
     The hash decides, the last of equal hashes winning; the position counts only where there is no hash.  The lookup is an
     array search inside the row, so that neither side shuffles, and happens before the traces are exploded.
     """
-    pairs = paired(F.col("block.transactions"), F.col("receipts"))
-    keys = F.transform(pairs, lambda p: F.struct(H.hex_to_i32(p["t"]["transactionIndex"]).alias("transaction_index"), F.lower(p["t"]["hash"]).alias("hash"), F.lower(p["t"]["from"]).alias("creator")))
-    head = _head(decoded, chunk_size, remap_mod, keys.alias("txs"), "traces", *more).withColumn("hashes", F.transform("txs", lambda t: t["hash"]))
+    if "found" in decoded.columns:
+        return _head(decoded, chunk_size, remap_mod, "found", *more)
+    return _matched(_head(decoded, chunk_size, remap_mod, _paired(decoded).alias("pairs"), "traces", *more)).drop("pairs")
+
+
+def _matched(rows: DataFrame) -> DataFrame:
+    """Adds ``found`` to rows with ``pairs`` and ``traces``."""
+    keys = F.transform("pairs", lambda p: F.struct(H.hex_to_i32(p["t"]["transactionIndex"]).alias("transaction_index"), F.lower(p["t"]["hash"]).alias("hash"), F.lower(p["t"]["from"]).alias("creator")))
+    head = rows.withColumn("txs", keys).withColumn("hashes", F.transform("txs", lambda t: t["hash"]))
     backwards = F.reverse("hashes")
 
     def place(t: Column) -> Column:
@@ -113,7 +131,7 @@ def with_matches(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0,
     found = F.transform("traces", lambda t, i: F.struct(i.alias("trace_index"), t["action"].alias("action"), t["result"].alias("result"), place(t).cast("int").alias("at")))
     kept = F.filter(found, lambda x: (x["at"] >= 0) & (x["at"] < F.size("txs")))
     full = F.transform(kept, lambda x: F.struct(x["trace_index"], x["action"], x["result"], F.get("txs", x["at"]).alias("tx")))
-    return head.withColumn("found", full)
+    return head.withColumn("found", full).drop("txs", "hashes", "traces")
 
 
 def matched_traces(decoded: DataFrame, chunk_size: int = 1000, remap_mod: int = 0) -> DataFrame:

@@ -649,8 +649,13 @@ query("rt_fill_heads", f"SELECT unnest(range(low + 1, high + 1)) AS block_num FR
 query("rt_unavailable", "SELECT block AS block_num, 'eth_getBlockByNumber,eth_getBlockReceipts,trace_block' AS methods FROM allb WHERE failed")(lambda spark, d: realtime.unavailable(bridge.raw(spark, d)))
 
 
+def per_block(decoded: DataFrame) -> DataFrame:
+    """Number of transactions and their value by block: only the value is decoded."""
+    pairs = transform._pairs(decoded, 1000, 0).select("chunk", "block_number", U.decimal("t.value").alias("value"))
+    return pairs.groupBy("chunk", "block_number").agg(F.count("*").alias("tx_count"), F.sum("value").cast("string").alias("value_total"))
+
+
 @query("tx_per_block", "SELECT chunk, block_number, count(*) AS tx_count, sum(value::HUGEINT)::VARCHAR AS value_total FROM tx GROUP BY ALL")
 def tx_per_block(spark, d):
     """The flagship: raw responses to transactions and value by block."""
-    tx = transform.transactions(_decoded(spark, d))
-    return tx.groupBy("chunk", "block_number").agg(F.count("*").alias("tx_count"), F.sum("value").cast("string").alias("value_total"))
+    return per_block(_decoded(spark, d))
