@@ -3,15 +3,16 @@
 An item is contained in a document when the document has at least ``CONTAINMENT`` of the item's distinct five-word shingles
 (A-Z lower-cased; an item of fewer words is one shingle of its own length).  Items are partitioned by their number of
 shingles, and an item's sketch is its smallest shingle hashes, as many as its partition asks for: one more than the
-shingles that a containing document may lack, so that a hit is certain, up to ``MOST_HASHES``, where all fail to hit
-with a chance under 0.2 ** 16.  A document looks its own shingles up among the sketches; each pair that meets is
-verified by exact containment.  Documents never shuffle and no pair of documents is ever made.
+shingles that a containing document may lack, so that a hit is certain.  A document looks its own shingles up among the
+sketches; pairs that meet and have enough equal hashes are verified by exact containment of the words themselves.  Documents
+never shuffle and no pair of documents is ever made.
 
 The items are a stated query set: they are sent to the executors in blocks of at most ``BLOCK_SHINGLES`` shingles (one
 larger item is a block), each block meeting all rows.
 
 Edge cases: null and empty texts and items match nothing; an item that repeats gives a pair each; a document row that
-repeats gives its pairs again; empty tables give an empty result.
+repeats gives its pairs again; very long texts are searched whole; empty tables give an empty result; further columns play
+no part in ``search`` and are kept by ``drop_contaminated``.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from blockweave.llm.shared import small_batches
 
 K = 5
 CONTAINMENT = (80, 100)
-MOST_HASHES = 16
 BLOCK_SHINGLES = 2_000_000
 
 
@@ -36,17 +36,18 @@ def sketch_size(n: int) -> int:
     """Hashes in the sketch of an item of n shingles, by the upper end of its size partition (powers of two)."""
     partition = 1 << max(0, n - 1).bit_length()
     lacking = partition * (CONTAINMENT[1] - CONTAINMENT[0]) // CONTAINMENT[1]
-    return min(n, MOST_HASHES, lacking + 1)
+    return min(n, lacking + 1)
 
 
 class Index:
-    """Sketches and shingle sets of a block of items."""
+    """Sketches, shingle hashes and texts of a block of items."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray, int]]):
-        """items: id, ascending distinct shingles, words in a shingle."""
+    def __init__(self, items: list[tuple]):
+        """items: id, ascending distinct shingle hashes, words in a shingle, text as bytes."""
         self.items = items
-        self.sizes = sorted({k for _, _, k in items})
-        keys = [np.sort(s)[: sketch_size(len(s))] for _, s, _ in items]
+        self.sizes = sorted({k for _, _, k, _ in items})
+        self.k = np.array([k for _, _, k, _ in items], dtype=np.int64)
+        keys = [np.sort(s)[: sketch_size(len(s))] for _, s, _, _ in items]
         key = np.concatenate(keys) if keys else np.empty(0, np.uint64)
         of = np.repeat(np.arange(len(items)), [len(k) for k in keys])
         order = np.argsort(key, kind="stable")
@@ -54,33 +55,54 @@ class Index:
         self.hint = np.zeros(1 << 16, dtype=bool)
         self.hint[(self.keys >> np.uint64(48)).astype(np.int64)] = True
 
+    def candidates(self, grams: dict) -> np.ndarray:
+        """Rows and items that share a hash of the item's sketch."""
+        found = [np.empty((0, 2), np.int64)]
+        for k, (value, row) in grams.items():
+            maybe = np.flatnonzero(self.hint[(value >> np.uint64(48)).astype(np.int64)])
+            lo = np.searchsorted(self.keys, value[maybe], "left")
+            n = np.searchsorted(self.keys, value[maybe], "right") - lo
+            item = self.of[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            pair = np.stack([np.repeat(row[maybe], n), item], axis=1)
+            found.append(np.unique(pair[self.k[item] == k], axis=0))
+        return np.concatenate(found)
+
     def pairs(self, flat: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
         """(row, item's number, shared shingles) of each pair that is contained."""
         hashes, rows = ragged.word_hashes(flat, off)
-        found: set[tuple[int, int]] = set()
-        grams = {}
-        for k in self.sizes:
-            value, row = grams[k] = ragged.grams(hashes, rows, k)
-            maybe = np.flatnonzero(self.hint[(value >> np.uint64(48)).astype(np.int64)])
-            lo = np.searchsorted(self.keys, value[maybe], "left")
-            hi = np.searchsorted(self.keys, value[maybe], "right")
-            hit = hi > lo
-            for at, a, b in zip(maybe[hit], lo[hit], hi[hit], strict=True):
-                found.update((int(row[at]), int(self.of[x])) for x in range(a, b) if self.items[self.of[x]][2] == k)
-        out, sets = [], {}
-        for r, i in sorted(found):
-            _, want, k = self.items[i]
+        grams = {k: ragged.grams(hashes, rows, k) for k in self.sizes}
+        sets, maybe = {}, []
+        for r, i in self.candidates(grams).tolist():
+            _, want, k, _ = self.items[i]
             if (r, k) not in sets:
                 value, row = grams[k]
                 sets[r, k] = np.unique(value[np.searchsorted(row, r) : np.searchsorted(row, r + 1)])
-            shared = int(np.isin(want, sets[r, k], assume_unique=True).sum())
-            if CONTAINMENT[1] * shared >= CONTAINMENT[0] * len(want):
-                out.append((r, i, shared))
-        return out
-
-
-def item_sets(table: pa.Table) -> list[tuple[int, np.ndarray, int]]:
-    """id, distinct shingles and shingle length of each item with words."""
+            if CONTAINMENT[1] * int(np.isin(want, sets[r, k], assume_unique=True).sum()) >= CONTAINMENT[0] * len(want):
+                maybe.append((k, r, i))
+        return sorted(self._exact(flat, off, maybe))
+
+    def _exact(self, flat: np.ndarray, off: np.ndarray, maybe: list[tuple[int, int, int]]):
+        """The same pairs by their words, some at a time."""
+        maybe.sort()
+        at = 0
+        while at < len(maybe):
+            k, size, end = maybe[at][0], 0, at
+            while end < len(maybe) and maybe[end][0] == k and (end == at or size < ragged.CHUNK_BYTES):
+                size += int(off[maybe[end][1] + 1] - off[maybe[end][1]]) + len(self.items[maybe[end][2]][3])
+                end += 1
+            some = maybe[at:end]
+            texts = [flat[off[r] : off[r + 1]] for _, r, _ in some]
+            items = [np.frombuffer(self.items[i][3], np.uint8) for _, _, i in some]
+            sides = [(np.concatenate(x), np.cumsum([0, *map(len, x)])) for x in (texts, items)]
+            _, wanted, shared = ragged.shared_shingles(*sides, k)
+            for (_, r, i), n, both in zip(some, wanted.tolist(), shared.tolist(), strict=True):
+                if CONTAINMENT[1] * both >= CONTAINMENT[0] * n:
+                    yield r, i, both
+            at = end
+
+
+def item_sets(table: pa.Table) -> list[tuple]:
+    """id, distinct shingle hashes, shingle length and text of each item with words."""
     out = []
     for batch in table.to_batches():
         for part, flat, off in ragged.chunks(batch, "text"):
@@ -89,7 +111,7 @@ def item_sets(table: pa.Table) -> list[tuple[int, np.ndarray, int]]:
             n = np.diff(word_rows)
             for i, item in enumerate(part.column("item_id").to_pylist()):
                 if n[i]:
-                    out.append((item, value[rows[i] : rows[i + 1]], int(min(K, n[i]))))
+                    out.append((item, value[rows[i] : rows[i + 1]], int(min(K, n[i])), flat[off[i] : off[i + 1]].tobytes()))
     return out
 
 

@@ -26,8 +26,8 @@ from blockweave.llm.shared import small_batches, written
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-#: Documents in a range of keys, on average.
-RANGE_ROWS = 2_000
+#: Documents in a range of keys, on average, and ranges that are summed together before sources are.
+RANGE_ROWS, SUPER = 2_000, 1_000
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -68,6 +68,17 @@ def random_key(doc_id: str | Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
 
 
+def _starts(ranges: DataFrame) -> DataFrame:
+    """of, rg, start: words before each range of its source, by sums over groups of ``SUPER`` ranges and then within each group."""
+    grouped = ranges.withColumn("sup", F.floor(F.col("rg") / SUPER))
+    within = Window.partitionBy("of", "sup").orderBy("rg").rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy("of").orderBy("sup").rowsBetween(Window.unboundedPreceding, -1)
+    before = grouped.groupBy("of", "sup").agg(F.sum("range_size").alias("held")).select(F.col("of").alias("so"), F.col("sup").alias("ss"), F.coalesce(F.sum("held").over(over), F.lit(0)).alias("base"))
+    inner = grouped.withColumn("part", F.coalesce(F.sum("range_size").over(within), F.lit(0)))
+    joined = inner.join(before, F.col("of").eqNullSafe(F.col("so")) & (F.col("sup") == F.col("ss")))
+    return joined.select("of", "rg", (F.col("base") + F.col("part")).alias("start"))
+
+
 def mix(docs: DataFrame, seed: str = "mix", text: str = "text") -> DataFrame:
     """doc_id, size, source_size, target and taken of every document; also source and its random key."""
     sized = written(sizes(docs, text), "sizes")
@@ -76,12 +87,7 @@ def mix(docs: DataFrame, seed: str = "mix", text: str = "text") -> DataFrame:
     at = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
     goal = goal.select(F.col("source").alias("of"), "source_size", "target", F.ceil(F.col("docs") / RANGE_ROWS).alias("ranges"))
     placed = keyed.join(goal, keyed.source.eqNullSafe(goal.of), "left").drop("of").withColumn("range", F.floor(at * F.col("ranges")).cast("long"))
-    before = Window.partitionBy("of").orderBy("rg").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy(F.col("source").alias("of"), F.col("range").alias("rg"))
-        .agg(F.sum("size").alias("range_size"))
-        .select("of", "rg", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("start"))
-    )
+    starts = _starts(placed.groupBy(F.col("source").alias("of"), F.col("range").alias("rg")).agg(F.sum("size").alias("range_size")))
     inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     summed = placed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = summed.join(starts, summed.source.eqNullSafe(starts.of) & (summed.range == starts.rg), "left")
@@ -95,12 +101,16 @@ def mix(docs: DataFrame, seed: str = "mix", text: str = "text") -> DataFrame:
 def mixture(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The documents that the mix takes, all columns, with ``mix_words`` (words taken) and ``mix_epochs`` (times it is read, the last perhaps in part).
 
-    A document without words has nothing to take and passes with 0.  Rows that repeat a doc_id share their numbers' sums.
+    A document without words has nothing to take and passes with 0.  Rows that repeat a doc_id share their numbers' sums; null ids are
+    one id.  Columns of the input that are called like the two new ones give way to them; an empty table gives an empty result.
     """
-    numbers = mix(docs, seed).groupBy(F.col("doc_id").alias("mix_id")).agg(F.sum("taken").alias("mix_words"), F.sum("size").alias("mix_size"))
-    numbers = numbers.where("mix_words > 0 or mix_size = 0")
-    epochs = F.when(F.col("mix_size") > 0, F.ceil(F.col("mix_words") / F.greatest("mix_size", F.lit(1)))).otherwise(0).cast("long")
-    return docs.join(numbers, docs.doc_id.eqNullSafe(numbers.mix_id)).select(*[docs[c] for c in docs.columns], "mix_words", epochs.alias("mix_epochs"))
+    numbers = mix(docs, seed).groupBy(F.col("doc_id").alias("mix_id")).agg(F.sum("taken").alias("words"), F.sum("size").alias("size"))
+    numbers = numbers.where("words > 0 or size = 0")
+    epochs = F.when(F.col("size") > 0, F.ceil(F.col("words") / F.greatest("size", F.lit(1)))).otherwise(0).cast("long")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    joined = rows.join(numbers, F.col("row.doc_id").eqNullSafe(F.col("mix_id")))
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in ("mix_words", "mix_epochs")]
+    return joined.select(*own, F.col("words").alias("mix_words"), epochs.alias("mix_epochs"))
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

@@ -118,6 +118,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
     return weight(z, g).astype(np.float32), float(-bias_z / ((BETA + np.sqrt(bias_g)) / ALPHA))
 
 
+def probabilities(model: tuple[np.ndarray, float], flat: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """The score of each text: sparse dot products through the logistic curve, to nine digits."""
+    weights, bias = model
+    value, row, n = features(flat, off)
+    total = np.bincount(row, weights=weights[value], minlength=len(n)) * _scale(n) + bias
+    return np.round(1.0 / (1.0 + np.exp(-np.clip(total, -30, 30))), 9)
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (by default doc_id) with ``score``."""
     keep = keep or ["doc_id"]
@@ -125,13 +133,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | No
     kept = [f"c{i}" for i in range(len(keep))]
 
     def run(batches):
-        weights, bias = shared.value
         for batch in batches:
             for part, flat, off in ragged.chunks(batch, "__text"):
-                value, row, n = features(flat, off)
-                total = np.bincount(row, weights=weights[value], minlength=len(n)) * _scale(n) + bias
-                p = 1.0 / (1.0 + np.exp(-np.clip(total, -30, 30)))
-                yield pa.record_batch([*(part.column(c) for c in kept), pa.array(np.round(p, 9))], names=[*kept, "__score"])
+                yield pa.record_batch([*(part.column(c) for c in kept), pa.array(probabilities(shared.value, flat, off))], names=[*kept, "__score"])
 
     source = docs.select(*[docs[c].alias(k) for c, k in zip(keep, kept, strict=True)], docs["text"].alias("__text"))
     kinds = ", ".join(f"{k} {source.schema[k].dataType.simpleString()}" for k in kept)
@@ -155,11 +159,8 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        weights, bias = shared.value
         for batch in batches:
             for part, flat, off in ragged.chunks(batch, "text"):
-                value, row, n = features(flat, off)
-                total = np.bincount(row, weights=weights[value], minlength=len(n)) * _scale(n) + bias
-                yield part.filter(pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -30, 30))) >= threshold))
+                yield part.filter(pa.array(probabilities(shared.value, flat, off) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -16,32 +16,67 @@ import pyarrow.compute as pc
 #: Bytes of text worked on at once; a single longer text is worked on alone.
 CHUNK_BYTES = 1 << 19
 
+#: Hashes are polynomials modulo this prime, with two bases: no fixed pair of texts collides but by the choice of the bases.
+PRIME = (1 << 31) - 1
+_P, _SHIFT = np.uint64(PRIME), np.uint64(31)
+
 _rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _MULT = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
-_BASE = int(_rng.integers(1, 2**62)) * 2 + 1
-_INV = pow(_BASE, -1, 1 << 64)
+_BASES = [int(x) for x in _rng.integers(1 << 20, PRIME - 1, 2)]
+_BYTE = [_rng.integers(1, PRIME, 256).astype(np.uint64) for _ in _BASES]
+_FAST_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_FAST_BASE = int(_rng.integers(1, 2**62)) * 2 + 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE_LOWER = _BYTE[_LOWER]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_powers = {"base": np.ones(1, dtype=np.uint64), "inv": np.ones(1, dtype=np.uint64)}
+_tables: dict = {}
 
 
-def _power(name: str, n: int) -> np.ndarray:
-    """The first n powers of the hash base or of its inverse modulo 2**64."""
-    have = _powers[name]
-    if len(have) < n:
-        size = max(n, CHUNK_BYTES + 8)
-        step = np.full(size, np.uint64(_BASE if name == "base" else _INV), dtype=np.uint64)
-        step[0] = 1
-        have = np.multiply.accumulate(step)
-        if size <= 4 * CHUNK_BYTES:
-            _powers[name] = have
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Something smaller that is equal modulo the prime."""
+    return (x & _P) + (x >> _SHIFT)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _kept(key, n: int, make) -> np.ndarray:
+    """The first n of a growing sequence, held while it is small."""
+    have = _tables.get(key)
+    if have is None or len(have) < n:
+        have = make(max(n, CHUNK_BYTES + 8))
+        if len(have) <= 4 * CHUNK_BYTES:
+            _tables[key] = have
     return have[:n]
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of a base modulo the prime, by doubling."""
+
+    def make(size: int) -> np.ndarray:
+        out = np.ones(size, dtype=np.uint64)
+        have = 1
+        while have < size:
+            more = min(have, size - have)
+            out[have : have + more] = _reduced(out[:more] * np.uint64(pow(base, have, PRIME)))
+            have += more
+        return out
+
+    return _kept(base, n, make)
+
+
+def _fast_powers(base: int, n: int) -> np.ndarray:
+    def make(size: int) -> np.ndarray:
+        step = np.full(size, np.uint64(base), dtype=np.uint64)
+        step[0] = 1
+        return np.multiply.accumulate(step)
+
+    return _kept(("fast", base), n, make)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64 bits (a bijection of xor-shifts and odd multiplications)."""
     x = x ^ (x >> np.uint64(31))
@@ -97,16 +132,43 @@ def words(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def prefix_hash(flat: np.ndarray, lower: bool = False) -> np.ndarray:
-    """Prefix polynomial hashes modulo 2**64 of bytes sent through a random table; entry i covers the first i bytes."""
-    out = np.empty(len(flat) + 1, dtype=np.uint64)
-    out[0] = 0
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[flat] * _power("base", len(flat)), out=out[1:])
+    """Sums of byte values times powers of the base, for both bases; entry i of a row covers the first i bytes."""
+    out = np.zeros((len(_BASES), len(flat) + 1), dtype=np.uint64)
+    for i, base in enumerate(_BASES):
+        table = _BYTE[i][_LOWER] if lower else _BYTE[i]
+        np.cumsum(_fold(table[flat] * _powers(base, len(flat))), out=out[i, 1:])
     return out
 
 
 def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each range of bytes, the same wherever the range stands."""
-    return mix((prefix[ends] - prefix[starts]) * _power("inv", len(prefix))[starts] + (ends - starts).astype(np.uint64) * _MULT[63])
+    """Hash of each range of bytes, the same wherever the range stands: both polynomials in 62 bits, mixed with the length."""
+    parts = []
+    for i, base in enumerate(_BASES):
+        back = _powers(pow(base, -1, PRIME), prefix.shape[1])[starts]
+        parts.append(_reduced(_fold(prefix[i, ends] - prefix[i, starts]) * back))
+    return mix((parts[0] << _SHIFT | parts[1]) + (ends - starts).astype(np.uint64) * _MULT[63])
+
+
+def window_keys(flat: np.ndarray, width: int) -> np.ndarray:
+    """A quick key of each ``width`` neighbouring bytes (a polynomial modulo 2**64): equal bytes have equal keys, not the other way round."""
+    prefix = np.zeros(len(flat) + 1, dtype=np.uint64)
+    np.cumsum(_FAST_BYTE[flat] * _fast_powers(_FAST_BASE, len(flat)), out=prefix[1:])
+    n = len(flat) - width + 1
+    return mix((prefix[width:] - prefix[:n]) * _fast_powers(pow(_FAST_BASE, -1, 1 << 64), n))
+
+
+def agree(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether the bytes of each range equal those of the range with number ``other``."""
+    size = ends - starts
+    same = size == size[other]
+    test = np.flatnonzero(same & (other != np.arange(len(size))) & (size > 0))
+    if len(test):
+        n = size[test]
+        cuts = np.cumsum(n) - n
+        inner = np.arange(int(n.sum())) - np.repeat(cuts, n)
+        differ = flat[np.repeat(starts[test], n) + inner] != flat[np.repeat(starts[other[test]], n) + inner]
+        same[test] &= np.add.reduceat(differ, cuts) == 0
+    return same
 
 
 def word_hashes(flat: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -115,6 +177,54 @@ def word_hashes(flat: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[
     return range_hash(prefix_hash(flat, lower), starts, ends), rows
 
 
+def word_ids(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word, the same for equal words only (A-Z lower-cased), and offsets of each row's words.
+
+    Words meet by their hashes and are then compared by their bytes; should hashes of different words agree, the bytes decide.
+    """
+    low = _LOWER[flat]
+    starts, ends, rows = words(flat, off)
+    _, first, ids = np.unique(range_hash(prefix_hash(low), starts, ends), return_index=True, return_inverse=True)
+    if not agree(low, starts, ends, first[ids]).all():
+        known: dict = {}
+        data = low.tobytes()
+        ids = np.fromiter((known.setdefault(data[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.int64, len(starts))
+    return ids.astype(np.int64), rows
+
+
+def gram_ids(ids: np.ndarray, rows: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the k-word shingles, the same for equal ones only, and the row of each; a row of fewer words, but some, is one shingle."""
+    n = np.diff(rows)
+    none = np.int64(ids.max() + 1 if len(ids) else 0)
+    size = np.where((n > 0) & (n < k), k, n)  # short rows are filled up with a number that is no word's
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    filled = np.full(int(cuts[-1]), none, dtype=np.int64)
+    filled[np.arange(len(ids)) + np.repeat(cuts[:-1] - rows[:-1], n)] = ids
+    total = len(filled) - k + 1
+    if total <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    gram = filled[:total]
+    for j in range(1, k):
+        _, gram = np.unique(gram * (none + 1) + filled[j : j + total], return_inverse=True)
+    row = np.repeat(np.arange(len(n)), size)[:total]
+    inside = row == np.repeat(np.arange(len(n)), size)[k - 1 :]
+    return gram[inside].astype(np.int64), row[inside]
+
+
+def shared_shingles(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], k: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exact sizes of the shingle sets of each text of a and of b, and of what the i-th ones share; a and b are bytes and offsets."""
+    pairs = len(a[1]) - 1
+    ids, rows = word_ids(np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1][1:] + len(a[0])]))
+    gram, row = gram_ids(ids, rows, k)
+    several = np.int64(gram.max() + 1 if len(gram) else 1)
+    each = np.unique(row * several + gram)  # a shingle once a text
+    owner, gram = each // several, each % several
+    n = np.bincount(owner, minlength=2 * pairs)
+    meet = np.sort(owner % pairs * several + gram) if pairs else each
+    both = meet[1:][meet[1:] == meet[:-1]] // several
+    return n[:pairs], n[pairs:], np.bincount(both, minlength=pairs)
+
+
 def grams(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each row's k-word windows and the row of each; none for a row of fewer words."""
     n = np.diff(rows)

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is set, as in tests."""
+    """The shared folder the cluster names; a folder of our own only on a local master where none is set, as in tests."""
     sc = spark.sparkContext
     have = sc._jsc.sc().getCheckpointDir()
     if have.isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="blockweave-"))
         have = sc._jsc.sc().getCheckpointDir()
     return have.get()
@@ -29,9 +31,37 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(most))
 
 
+_paths: dict[str, list[str]] = {}
+
+
 def written(df: DataFrame, name: str = "t") -> DataFrame:
     """Cuts the lineage through a Parquet table in the shared folder; later reads take only the columns they use."""
-    small_batches(df.sparkSession)
-    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    small_batches(spark)
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored = path
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made and that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_stored", None)
+        mine = _paths.get(df.sparkSession.sparkContext.applicationId, [])
+        if path in mine:
+            mine.remove(path)
+            _delete(df.sparkSession, path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all tables that ``written`` made in this application: for its end, when results are stored elsewhere."""
+    for path in _paths.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)

@@ -4,7 +4,7 @@ Texts are split into pre-tokens by numpy passes over their code points (letters,
 English contractions).  Pre-tokens that a batch shows for the first time are held as one ragged array of symbols; each round
 looks every neighbouring pair's rank up, finds each sequence's lowest rank, and merges that pair in all sequences at
 once, until no sequence has a pair left; the surviving symbols are counted.  Counts of pre-tokens seen before come from a
-bounded cache in the worker.  Strings of added special tokens inside a text count as one token each, as the library does by
+bounded cache in the worker, by their bytes; within a batch equal pre-tokens meet by hash and are compared by their bytes.  Strings of added special tokens inside a text count as one token each, as the library does by
 default.  Whole texts are counted, without truncation.
 
 Edge cases: null and empty texts have 0 bytes and 0 tokens; repeated rows count alike; an empty table gives an empty result.
@@ -35,7 +35,13 @@ def load(path: str) -> dict:
     """Arrays of a byte-level BPE file: symbol of each byte, merges by pair, special strings."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    whole = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    marked = any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    if spec.get("normalizer") or not plain or not whole or marked:
+        raise ValueError("the file asks for steps that aren't those of byte-level BPE with the usual split")
+    vocab, merges = model["vocab"], model["merges"]
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256 on
     hidden = [b for b in range(256) if b not in set(shown)]
     char = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
@@ -136,13 +142,17 @@ class Counter:
         if not len(starts):
             return np.zeros(len(off) - 1, dtype=np.int64)
         keys, first, inverse = np.unique(ragged.range_hash(ragged.prefix_hash(flat), starts, ends), return_index=True, return_inverse=True)
-        counts = np.fromiter(map(self.known.get, keys.tolist(), [0] * len(keys)), dtype=np.int64, count=len(keys))
+        if not ragged.agree(flat, starts, ends, first[inverse]).all():  # hashes of different pre-tokens agree: each counts for itself
+            return ragged.row_sums(merge_counts(self.model, flat, starts, ends), np.searchsorted(starts, off))
+        data = flat.tobytes()
+        texts = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        counts = np.fromiter(map(self.known.get, texts, [0] * len(texts)), dtype=np.int64, count=len(texts))
         new = np.flatnonzero(counts == 0)
         if len(new):
             counts[new] = merge_counts(self.model, flat, starts[first[new]], ends[first[new]])
             if len(self.known) + len(new) > self.limit:
                 self.known = {}
-            self.known.update(zip(keys[new].tolist(), counts[new].tolist(), strict=True))
+            self.known.update((texts[i], n) for i, n in zip(new.tolist(), counts[new].tolist(), strict=True) if len(texts[i]) <= 100)
         return ragged.row_sums(counts[inverse], np.searchsorted(starts, off))
 
     def __call__(self, flat: np.ndarray, off: np.ndarray) -> np.ndarray:

@@ -90,7 +90,15 @@ def lexicon_sum(found: ahocorasick.Automaton, folded: str) -> float:
             excused.append((start, end))
         elif weight > places.get(start, 0.0):
             places[start] = weight
-    return sum(w for at, w in places.items() if not any(a <= at < b for a, b in excused))
+    excused.sort()
+    total, i, until = 0.0, 0, -1  # until: where the exceptions that begin at or before a place reach to
+    for at in sorted(places):
+        while i < len(excused) and excused[i][0] <= at:
+            until = max(until, excused[i][1])
+            i += 1
+        if at >= until:
+            total += places[at]
+    return total
 
 
 def _counted(rows: DataFrame) -> DataFrame:

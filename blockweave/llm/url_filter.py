@@ -3,11 +3,12 @@
 The host runs from after the first ``://`` to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; the path from there to ``?``, ``#``
 or the end; a null url, or one without ``://``, has both empty.  A rule fits its host and all its subdomains when the
 path starts with the rule's; the longest that fits decides.  Other urls are judged by their words: an automaton counts
-strict and soft terms whose neighbours aren't ASCII letters or digits; one strict term, or ``SOFT_LIMIT`` weight
-of distinct soft terms, blocks.
+strict and soft terms whose neighbours aren't ASCII letters or digits; one strict term blocks, or ``SOFT_TERMS`` distinct soft
+terms that weigh ``SOFT_LIMIT`` together.
 
-Edge cases: null or odd urls match no rule and no term and are allowed; repeated rows are judged alike; an empty table
-gives an empty result.  The rules and the vocabulary are parameters, sent to the executors.
+Edge cases: null or odd urls match no rule and no term and are allowed; a term that repeats in a url counts once; repeated
+rows are judged alike; very long urls are read whole, in linear time; an empty table gives an empty result, and further
+columns play no part.  The rules and the vocabulary are parameters, sent to the executors.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
 from blockweave.llm.shared import small_batches
+from blockweave.llm.url_terms import SOFT, STRICT
 
 #: Host, path, verdict.
 RULES = (
@@ -26,10 +29,8 @@ RULES = (
     ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 )
-STRICT = ("casino", "casinos", "porn", "porno", "xxx", "viagra", "cialis", "escort", "escorts", "warez", "spam", "pills", "bets", "jackpot", "sportsbook", "payday", "malware", "phishing")
-#: Soft terms and weights.
-SOFT = {"free": 1, "cheap": 1, "win": 1, "winner": 1, "farm": 1, "ads": 1, "ad": 1, "track": 1, "tracker": 1, "click": 1, "promo": 1, "deals": 1, "bonus": 1, "adult": 1, "dating": 1, "loan": 1, "loans": 1, "poker": 1, "lottery": 1, "torrent": 1, "coupon": 1, "sexy": 1}
-SOFT_LIMIT = 2
+#: Weight of soft terms that blocks, and the least number of distinct ones: no soft term blocks alone.
+SOFT_LIMIT, SOFT_TERMS = 2.0, 2
 
 
 def host_of(url: Column) -> Column:
@@ -50,12 +51,23 @@ def with_rule(pages: DataFrame, rules=RULES) -> DataFrame:
     return pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).withColumn("rule", rule).withColumn("ruled", verdict)
 
 
+def vocabulary(terms: DataFrame) -> tuple[tuple[str, ...], dict[str, float]]:
+    """Strict and soft terms of a table (term, weight); a null weight is a strict term.
+
+    Terms are lower-cased; of equal ones the strict counts, else the highest weight.  The table is a parameter: it must fit the
+    driver and the executors, a few million terms at most.
+    """
+    rows = terms.where("term is not null and term <> ''").select(F.lower("term").alias("term"), F.col("weight").cast("double").alias("weight"))
+    found = rows.groupBy("term").agg(F.max(F.col("weight").isNull()).alias("strict"), F.max("weight").alias("weight")).collect()
+    return tuple(sorted(r["term"] for r in found if r["strict"])), {r["term"]: r["weight"] for r in sorted(found) if not r["strict"]}
+
+
 def automaton(strict=STRICT, soft=SOFT) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for term in strict:
-        found.add_word(term, (term, None))
     for term, weight in soft.items():
         found.add_word(term, (term, weight))
+    for term in strict:
+        found.add_word(term, (term, None))
     found.make_automaton()
     return found
 
@@ -64,9 +76,11 @@ def _plain(char: str) -> bool:
     return char.isascii() and char.isalnum()
 
 
-def count_terms(found: ahocorasick.Automaton, url: str) -> tuple[int, int]:
-    """Strict hits, and the weight of distinct soft terms."""
+def count_terms(found: ahocorasick.Automaton, url: str) -> tuple[int, int, float]:
+    """Strict hits, and number and weight of distinct soft terms."""
     url, strict, soft = url.lower(), 0, {}
+    if not len(found):
+        return 0, 0, 0.0
     for end, (term, weight) in found.iter(url):
         start = end - len(term) + 1
         if (start and _plain(url[start - 1])) or (end + 1 < len(url) and _plain(url[end + 1])):
@@ -75,25 +89,26 @@ def count_terms(found: ahocorasick.Automaton, url: str) -> tuple[int, int]:
             strict += 1
         else:
             soft[term] = weight
-    return strict, sum(soft.values())
+    return strict, len(soft), float(sum(soft.values()))
 
 
-def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=None, soft_limit: int = SOFT_LIMIT) -> DataFrame:
-    """page_id, host, path, rule, verdict, strict_hits and soft_weight."""
+def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=None, soft_limit: float = SOFT_LIMIT, soft_terms: int = SOFT_TERMS) -> DataFrame:
+    """page_id, host, path, rule, verdict, strict_hits, soft_hits and soft_weight."""
     soft = dict(SOFT if soft is None else soft)
     kind = dict(pages.dtypes)["page_id"]
-    names = ["page_id", "host", "path", "rule", "ruled", "strict_hits", "soft_weight"]
+    names = ["page_id", "host", "path", "rule", "ruled", "strict_hits", "soft_hits", "soft_weight"]
 
     def run(batches):
         found = automaton(strict, soft)
         for batch in batches:
             counts = [count_terms(found, url.as_py() or "") for url in batch.column("url")]
-            yield pa.record_batch([*(batch.column(c) for c in names[:5]), pa.array([c[0] for c in counts], pa.int32()), pa.array([c[1] for c in counts], pa.int32())], names=names)
+            found_counts = [pa.array([c[i] for c in counts], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.float64()))]
+            yield pa.record_batch([*(batch.column(c) for c in names[:5]), *found_counts], names=names)
 
     ruled = with_rule(pages.select("page_id", "url"), rules)
-    counted = ruled.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, ruled string, strict_hits int, soft_weight int")
-    own = F.when((F.col("strict_hits") > 0) | (F.col("soft_weight") >= soft_limit), "block").otherwise("allow")
-    return counted.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "strict_hits", "soft_weight")
+    counted = ruled.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, ruled string, strict_hits int, soft_hits int, soft_weight double")
+    own = F.when((F.col("strict_hits") > 0) | ((F.col("soft_hits") >= soft_terms) & (F.col("soft_weight") >= soft_limit)), "block").otherwise("allow")
+    return counted.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "strict_hits", "soft_hits", "soft_weight")
 
 
 def op5_url_filters(spark, sf_dir: str) -> DataFrame:
@@ -106,13 +121,16 @@ def _sql() -> str:
     rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for h, p, _, f in fits)
     verdict = " ".join(f"WHEN {f} THEN '{v}'" for _, _, v, f in fits)
     word = lambda terms: rf"'(^|[^a-z0-9])({terms})($|[^a-z0-9])'"
-    soft = " + ".join(f"{w} * regexp_matches(low, {word(t)})::INT" for t, w in SOFT.items())
+    weighed = [(w, "|".join(t for t, x in SOFT.items() if x == w)) for w in sorted(set(SOFT.values()))]
+    # every run of ASCII letters and digits is a word, so that terms, which hold nothing else, are among a url's words
+    soft = " + ".join(f"{w} * len(list_filter(said, lambda x: regexp_full_match(x, '{t}')))" for w, t in weighed)
+    hits = f"len(list_filter(said, lambda x: regexp_full_match(x, '{'|'.join(SOFT)}')))"
     return rf"""
 WITH u AS (SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS raw_host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, lower(coalesce(url, '')) AS low FROM pages),
-p AS (SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path, low FROM u)
+p AS (SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path, low, list_distinct(regexp_extract_all(low, '[a-z0-9]+')) AS said FROM u)
 SELECT page_id, host, path, CASE {rule} END AS rule,
-  CASE {verdict} WHEN regexp_matches(low, {word('|'.join(STRICT))}) OR {soft} >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict FROM p
+  CASE {verdict} WHEN regexp_matches(low, {word('|'.join(STRICT))}) OR ({hits} >= {SOFT_TERMS} AND {soft} >= {SOFT_LIMIT}) THEN 'block' ELSE 'allow' END AS verdict FROM p
 """
 
 
