@@ -1,41 +1,52 @@
 """N-gram Jaccard join: a size-aware heavy-light join on five-word shingles, and the components of its links.
 
-Documents with equal shingle sets form a class, and only classes go on.  Two classes are candidates when they share a key:
+Documents with equal words form a class, and only classes go on.  Two classes are candidates when they share a key:
 
 * a small set enumerates all subsets of ``SUBSET`` of its extended prefix, the ``n - ceil(0.8 n) + SUBSET`` smallest shingle
   hashes; sets that link share at least that many of them, so that no link is missed;
-* a large set has an inverted list for each neighbouring pair among its ``LOWEST`` smallest hashes; at the least similarity
-  that links, sets miss each other on all lists with a chance of about 1e-10;
-* the boundary is the largest size whose subsets cost no more keys than the lists; sets within a factor 0.8 below it do both.
+* a large set has an inverted list for each neighbouring pair among its smallest hashes.  In the common order of two sets that
+  link, each element that only one of them has parts two neighbouring pairs at most; with ``d`` such elements, one of the first
+  ``2 d + 1`` pairs is whole in both.  The lists go that far for the largest ``d`` that a set can have, and ``n / 8`` pairs
+  further, so that no link is missed either;
+* the boundary between them is the size at which the keys of all sets, as their sizes are distributed, are the fewest; sets
+  within a factor 0.8 below it do both.
 
 Lists are scanned in two rounds.  First each list links its members to its smallest one (a star, linear in the list).  After
 verification and components, the second round compares, within lists that still hold several components, the members of
-different components, by blocks when a list is long; a parity bitmap of each set bounds the symmetric difference from
-below and prunes pairs exactly.  Surviving pairs are verified by exact intersection of the whole sets.
+different components; a parity bitmap of each set bounds the symmetric difference from below and prunes pairs exactly.
+A list of more than ``HOT`` members is compared by blocks, and only blocks whose sizes can link meet; a set with so few such lists
+that it must share another list with whatever it links to, by the ``n / 8`` pairs to spare, is left out of them.  Surviving
+pairs are verified by their words, not by hashes.
 
-Components come from alternating large-star and small-star steps with checkpoints; nothing gathers on the driver.
+Components come from alternating large-star and small-star steps, each stored; nothing gathers on the driver.
 
 Edge cases: null, empty and wordless texts have no shingles and link with nothing, their component is their own id; fewer
 than five words make one shingle; rows that repeat a ``doc_id`` are one document; a null ``doc_id`` links with nothing and has
-a null component; empty tables give empty results.
+a null component; very long texts count whole; empty tables give empty results; further columns play no part in
+``membership`` and are kept by ``drop_near_copies``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockweave.llm import bloom, ragged
-from blockweave.llm.shared import small_batches, written
+from blockweave.llm.shared import release, small_batches, written
 
 K = 5
 SUBSET = 2
-LOWEST = 37
 BITMAP_WORDS = 16
-#: Members of a list compared in one block; longer lists are compared block by block.
-BLOCK = 2000
+#: Largest size whose sets may enumerate subsets; the boundary is at most this.
+MOST_SMALL = 64
+#: Members beyond which a list is hot, members of one block of it, and ways that its join is split.
+HOT, BLOCK, SALTS = 1000, 2000, 16
+CLASS = ["h1", "h2", "h3", "h4"]
 
 
 def least(n: np.ndarray) -> np.ndarray:
@@ -43,36 +54,50 @@ def least(n: np.ndarray) -> np.ndarray:
     return (80 * n + 99) // 100
 
 
-def boundary() -> int:
-    """The largest size whose enumeration of subsets costs no more keys than the inverted lists."""
-    n = 1
-    while True:
-        prefix = n + 1 - int(least(np.array(n + 1))) + SUBSET
-        if prefix * (prefix - 1) // 2 > LOWEST - 1:
-            return n
-        n += 1
+def apart(n):
+    """Most elements that a set of n and one that it links to don't share."""
+    return (n + 5 * n // 4) // 9
+
+
+def pairs_of(n):
+    """Neighbouring pairs that a large set of n has lists for."""
+    return np.minimum(n - 1, 2 * apart(n) + 1 + n // 8)
+
 
+def subsets_of(n):
+    """Subsets that a small set of n enumerates."""
+    prefix = np.minimum(n, n - least(n) + SUBSET)
+    return prefix * (prefix - 1) // 2
 
-SMALL = boundary()
 
+def boundary(sizes: dict[int, int]) -> int:
+    """The largest size of small sets, at which all sets of these sizes (size: number) have the fewest keys."""
+    n = np.array(sorted(k for k in sizes if 1 < k <= MOST_SMALL), dtype=np.int64)
+    weight = np.array([sizes[k] for k in n.tolist()], dtype=np.int64)
+    cost = [int((weight * (np.where(n <= b, subsets_of(n), 0) + np.where(5 * n > 4 * b, pairs_of(n), 0))).sum()) for b in range(1, MOST_SMALL + 1)]
+    return 1 + int(np.argmin(cost))
 
-def set_keys(value: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and their rows."""
+
+def set_keys(value: np.ndarray, rows: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their rows; a row's keys differ."""
     n = np.diff(rows)
-    keys, owners = [], []
-    small = np.flatnonzero((n >= 2) & (n <= SMALL))
-    if len(small):
-        prefix = np.minimum(n[small], n[small] - least(n[small]) + SUBSET)
+    single = np.flatnonzero(n == 1)
+    keys, owners = [ragged.mix(value[rows[single]] ^ np.uint64(0xA5A5A5A5))], [single]
+    few = np.flatnonzero((n >= 2) & (n <= small))
+    if len(few):
+        prefix = np.minimum(n[few], n[few] - least(n[few]) + SUBSET)
         for i in range(int(prefix.max())):
             for j in range(i + 1, int(prefix.max())):
-                has = small[prefix > j]
+                has = few[prefix > j]
                 keys.append(ragged.mix(value[rows[has] + i] * np.uint64(0x9E3779B97F4A7C15) + value[rows[has] + j]))
                 owners.append(has)
-    large = np.flatnonzero(5 * n > 4 * SMALL)
-    for i in range(LOWEST - 1):
-        has = large[n[large] > i + 1]
-        keys.append(ragged.mix(value[rows[has] + i] + value[rows[has] + i + 1] * np.uint64(0xD1B54A32D192ED03)))
-        owners.append(has)
+    many = np.flatnonzero((5 * n > 4 * small) & (n >= 2))
+    if len(many):
+        count = pairs_of(n[many])
+        owner = np.repeat(many, count)
+        at = np.repeat(rows[many], count) + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        keys.append(ragged.mix(value[at] + value[at + 1] * np.uint64(0xD1B54A32D192ED03)))
+        owners.append(owner)
     return np.concatenate(keys), np.concatenate(owners)
 
 
@@ -102,32 +127,75 @@ def _could_link(n_a, n_b, bits_a, bits_b) -> np.ndarray:
     return (5 * np.minimum(n_a, n_b) >= 4 * np.maximum(n_a, n_b)) & (9 * apart <= n_a + n_b)
 
 
+def _digests(flat: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """SHA-256 of each text's words with one space between them, A-Z lower-cased, as four signed numbers a row."""
+    data = flat.tobytes()
+    out = b"".join(hashlib.sha256(b" ".join(data[a:b].lower().split())).digest() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True))
+    return np.frombuffer(out, dtype="<i8").reshape(-1, 4)
+
+
 def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the set, its keys and bitmap."""
+    """doc_id, n_shingles, the digest of the words, and a bitmap of the set."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
         for batch in batches:
             for part, flat, off in ragged.chunks(batch, "text"):
                 value, rows = ragged.shingle_sets(flat, off, K)
-                key, owner = set_keys(value, rows)
-                order = np.lexsort((key, owner))
-                key, owner = key[order], owner[order]
-                cuts = np.searchsorted(owner, np.arange(len(rows))).astype(np.int32)
-                one, two = ragged.row_sums(ragged.mix(value), rows), ragged.row_sums(ragged.mix(value ^ np.uint64(0x5555AAAA5555AAAA)), rows)
-                yield pa.record_batch(
-                    [
-                        part.column("doc_id"),
-                        pa.array(np.diff(rows)),
-                        pa.array(ragged.signed(one)),
-                        pa.array(ragged.signed(two)),
-                        pa.ListArray.from_arrays(cuts, pa.array(ragged.signed(key))),
-                        _binary(bitmaps(value, rows)),
-                    ],
-                    names=["doc_id", "n_shingles", "h1", "h2", "keys", "bits"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, h1 long, h2 long, keys array<long>, bits binary")
+                digest = np.ascontiguousarray(_digests(flat, off).T)
+                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(rows)), *map(pa.array, digest), _binary(bitmaps(value, rows))], names=["doc_id", "n_shingles", *CLASS, "bits"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, h1 long, h2 long, h3 long, h4 long, bits binary")
+
+
+def _classes(every: DataFrame) -> tuple[DataFrame, tuple]:
+    """Classes (digest, rep, n, bits), and what tells a representative's row: two filters with their bits.
+
+    As in exact deduplication, a filter of digests that may repeat sends only those rows to a shuffle.
+    """
+    some = every.where("n_shingles > 0 and doc_id is not null")
+    size = bloom.size_for(some.count())
+    places = F.explode(F.array(*[F.col(h).bitwiseAND(F.lit(size - 1)) for h in CLASS[:2]])).alias("slot")
+    again = bloom.bitmap(some.select(places).groupBy("slot").count().where("count > 1"), size)
+    shared = every.sparkSession.sparkContext.broadcast(again)
+
+    @F.arrow_udf("boolean")
+    def repeats(first: pa.Array, second: pa.Array) -> pa.Array:
+        return pa.array(bloom.holds(shared.value, first.to_numpy() & (size - 1), second.to_numpy() & (size - 1)))
+
+    tested = some.withColumn("again", repeats("h1", "h2"))
+    single = tested.where("not again").select(*CLASS, F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bits")
+    grouped = tested.where("again").groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    grouped = written(grouped, "repeated")
+    reps_size = bloom.size_for(grouped.count())
+    return written(single.unionByName(grouped), "classes"), (again, size, bloom.present(grouped, "rep", reps_size), reps_size)
+
+
+def _postings(docs: DataFrame, filters: tuple, small: int) -> DataFrame:
+    """key and rep: the keys of the classes, from their representatives' texts.
+
+    A copy that the filters take for a representative only adds links to its own class.
+    """
+    again, size, reps, reps_size = filters
+    shared = docs.sparkSession.sparkContext.broadcast((again, reps))
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def run(batches):
+        again, reps = shared.value
+        for batch in batches:
+            for part, flat, off in ragged.chunks(batch, "text"):
+                digest = _digests(flat, off)
+                mine = bloom.holds(reps, part.column("first").to_numpy(), part.column("second").to_numpy())
+                mine |= ~bloom.holds(again, digest[:, 0] & (size - 1), digest[:, 1] & (size - 1))
+                part = part.filter(pa.array(mine))
+                if part.num_rows:
+                    value, rows = ragged.shingle_sets(*ragged.buffers(part.column("text")), K)
+                    key, owner = set_keys(value, rows, small)
+                    yield pa.record_batch([pa.array(ragged.signed(key)), part.column("rep").take(pa.array(owner))], names=["key", "rep"])
+
+    first, second = bloom.slots(F.col("doc_id"), reps_size)
+    source = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), first.alias("first"), second.alias("second"), "text")
+    return source.mapInArrow(run, f"key long, rep {kind}")
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -135,57 +203,49 @@ def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     side = classes.select("rep", "n", "bits")
     one = side.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     two = side.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-    both = pairs.join(one, "a").join(two, "b").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+    both = pairs.join(two, "b").join(one, "a").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
                 keep = _could_link(n_a, n_b, _words(batch.column("bits_a")), _words(batch.column("bits_b")))
-                yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(keep))
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     kind = classes.schema["rep"].dataType.simpleString()
-    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, f"a {kind}, b {kind}, n_a long, n_b long")
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def linked(batch: pa.RecordBatch) -> pa.Array:
+    """Whether the texts t_a and t_b of each row link, by exact intersection of their sets of words."""
+    (flat_a, off_a), (flat_b, off_b) = ragged.buffers(batch.column("t_a")), ragged.buffers(batch.column("t_b"))
+    keep, at, total = [], 0, off_a + off_b
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(total, total[at] + ragged.CHUNK_BYTES, "right")) - 1)
+        a, b = ((flat[off[at] : off[end]], off[at : end + 1] - off[at]) for flat, off in ((flat_a, off_a), (flat_b, off_b)))
+        n_a, n_b, both = ragged.shared_shingles(a, b, K)
+        keep.append((both > 0) & (100 * both >= 80 * (n_a + n_b - both)))
+        at = end
+    return pa.array(np.concatenate(keep) if keep else np.empty(0, bool), pa.bool_())
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs a, b whose sets link, by exact intersection."""
+    """The pairs a, b whose sets link; only texts of pairs left over by the pruning shuffle."""
     left = written(_pruned(pairs, classes), "pruned")
     needed = left.select(F.col("a").alias("rep")).union(left.select("b")).distinct()
     bits = bloom.size_for(2 * left.count())
     words = bloom.present(needed, "rep", bits)
-    shared = docs.sparkSession.sparkContext.broadcast(words)
     kind = classes.schema["rep"].dataType.simpleString()
+    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("rep"), "text")
+    texts = bloom.may_repeat(texts, F.col("rep"), words, bits, "held").where("held")
 
-    def sets(batches):
-        for batch in batches:
-            held = bloom.holds(shared.value, batch.column("first").to_numpy(), batch.column("second").to_numpy())
-            for part, flat, off in ragged.chunks(batch.select(["rep", "text"]).filter(pa.array(held)), "text"):
-                value, rows = ragged.shingle_sets(flat, off, K)
-                cuts = (rows * 8).astype(np.int64)
-                yield pa.record_batch([part.column("rep"), pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(value))]).cast(pa.binary())], names=["rep", "elements"])
-
-    first, second = bloom.slots(F.col("doc_id"), bits)
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text", first.alias("first"), second.alias("second"))
-    shingles = texts.mapInArrow(sets, f"rep {kind}, elements binary")
-    one = shingles.select(F.col("rep").alias("a"), F.col("elements").alias("e_a"))
-    two = shingles.select(F.col("rep").alias("b"), F.col("elements").alias("e_b"))
-
-    def intersect(batches):
+    def run(batches):
         for batch in batches:
-            keep = []
-            flat_a, off_a = ragged.buffers(batch.column("e_a"))
-            flat_b, off_b = ragged.buffers(batch.column("e_b"))
-            for i in range(batch.num_rows):
-                a = np.frombuffer(flat_a[off_a[i] : off_a[i + 1]].tobytes(), np.uint64)
-                b = np.frombuffer(flat_b[off_b[i] : off_b[i + 1]].tobytes(), np.uint64)
-                both = np.sort(np.concatenate([a, b]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= 80 * (len(a) + len(b) - shared) and shared > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(linked(batch))
 
-    joined = left.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "e_a", "e_b")
-    return joined.mapInArrow(intersect, f"a {kind}, b {kind}").distinct()
+    one = texts.select(F.col("rep").alias("a"), F.col("text").alias("t_a"))
+    two = texts.select(F.col("rep").alias("b"), F.col("text").alias("t_b"))
+    return left.join(two, "b").join(one, "a").select("a", "b", "t_a", "t_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -206,8 +266,9 @@ def components(edges: DataFrame) -> DataFrame:
     before, edges = None, edges
     now = state(edges)
     while now[0] and now != before:
-        edges = written(step(edges), "edges")
+        old, edges = edges, written(step(edges), "edges")
         before, now = now, state(edges)
+        release(old)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
@@ -233,19 +294,53 @@ def _lists(batches, columns: list[str]):
         yield held
 
 
-def _across(postings: DataFrame, lists: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs a, b of one list and different components that sizes and bitmaps don't rule out, each from its smallest common key."""
-    members = postings.join(lists.where("members > 2"), "key").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    members = written(members, "members")
+class _Hot:
+    """Joins by key in which hot keys are spread: a filter of bounded size tells which rows may have one."""
+
+    def __init__(self, lists: DataFrame):
+        hot = lists.where(F.col("members") > HOT).select("key")
+        self.n = hot.count()
+        self.bits = bloom.size_for(self.n)
+        self.words = bloom.present(hot, "key", self.bits) if self.n else None
+
+    def join(self, rows: DataFrame, lists: DataFrame) -> DataFrame:
+        """Rows with what ``lists`` (one row a key) says of their key."""
+        if not self.n:
+            return rows.join(lists, "key")
+        mine, theirs = (bloom.may_repeat(df, F.col("key"), self.words, self.bits, "hot") for df in (rows, lists))
+        cold = mine.where("not hot").drop("hot").join(theirs.where("not hot").drop("hot"), "key")
+        spread = theirs.where("hot").drop("hot").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = mine.where("hot").drop("hot").withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+        return cold.unionByName(salted.join(spread, ["key", "salt"]).drop("salt"))
+
+
+def _blocks(members: Column, n: Column, rep: Column) -> Column:
+    """The blocks of its list that a set is compared in, as an array of (lo, hi, own); a list that isn't hot is one.
+
+    A hot list has blocks by size class, a factor 1.25 each, and by a hash within a class; only equal and neighbouring classes can link.
+    """
+    parts = F.ceil(members / BLOCK).cast("int")
+    own = F.floor(F.log(n.cast("double")) / math.log(1.25)).cast("int") * F.lit(1 << 20) + F.pmod(F.xxhash64(rep), parts).cast("int")
+    others = F.flatten(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.transform(F.sequence(F.lit(0), parts - 1), lambda p: (F.shiftright(own, 20) + d) * F.lit(1 << 20) + p)))
+    hot = F.transform(others, lambda o: F.struct(F.least(own, o).alias("lo"), F.greatest(own, o).alias("hi"), own.alias("own")))
+    zero = F.lit(0).cast("int")
+    return F.when(members > HOT, hot).otherwise(F.array(F.struct(zero.alias("lo"), zero.alias("hi"), zero.alias("own"))))
+
+
+def _across(listed: DataFrame, hot: _Hot, roots: DataFrame, classes: DataFrame, small: int) -> DataFrame:
+    """Pairs a, b of one list and different components that sizes and bitmaps don't rule out."""
+    placed = listed.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    if hot.n:
+        spare = listed.where(F.col("members") > HOT).groupBy("rep").agg(F.count("*").alias("hot_lists")).join(classes.select("rep", F.col("n").alias("size")), "rep")
+        spare = spare.where((F.col("size") > small) & (F.col("hot_lists") <= F.floor(F.col("size") / 10))).select("rep", F.lit(True).alias("covered"))
+        placed = placed.join(spare, "rep", "left").where(f"members <= {HOT} or covered is null").drop("covered")
+    members = written(placed, "members")
     mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     rows = (
-        members.join(mixed, "key")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "root", "pivot")
-        .join(classes.select("rep", "n", "bits", "keys"), "rep")
+        hot.join(members, mixed)
+        .join(classes.select("rep", "n", "bits"), "rep")
+        .select("key", "rep", "root", "pivot", "n", "bits", F.explode(_blocks(F.col("members"), F.col("n"), F.col("rep"))).alias("x"))
+        .select("key", "x.*", "rep", "root", "pivot", "n", "bits")
         .repartition("key", "lo", "hi")
         .sortWithinPartitions("key", "lo", "hi", "rep")
     )
@@ -253,60 +348,63 @@ def _across(postings: DataFrame, lists: DataFrame, roots: DataFrame, classes: Da
     def run(batches):
         for part in _lists(batches, ["key", "lo", "hi"]):
             n, rep, root, own = (part.column(c).to_numpy() for c in ("n", "rep", "root", "own"))
-            bits, apart = _words(part.column("bits").combine_chunks()), part.column("lo")[0].as_py() != part.column("hi")[0].as_py()
-            pivot, key = part.column("pivot")[0].as_py(), part.column("key")[0].as_py()
-            lists = part.column("keys").combine_chunks()
-            cuts, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            bits, differ = _words(part.column("bits").combine_chunks()), part.column("lo")[0].as_py() != part.column("hi")[0].as_py()
+            pivot = part.column("pivot")[0].as_py()
             a, b = [], []
             for i in range(len(rep) - 1):
-                rest = slice(i + 1, None)
-                ok = _could_link(n[i], n[rest], bits[i], bits[rest]) & (root[rest] != root[i]) & (rep[rest] != pivot)
-                if rep[i] == pivot:
+                if rep[i] == pivot:  # the first round compared it with all
                     continue
-                if apart:
+                rest = slice(i + 1, None)
+                ok = (root[rest] != root[i]) & (rep[rest] != pivot)
+                if differ:
                     ok &= own[rest] != own[i]
-                for j in np.flatnonzero(ok) + i + 1:
-                    common = np.intersect1d(flat[cuts[i] : cuts[i + 1]], flat[cuts[j] : cuts[j + 1]], assume_unique=False)
-                    if common[0] == key:
-                        a.append(rep[i])
-                        b.append(rep[j])
+                some = np.flatnonzero(ok) + i + 1
+                some = some[_could_link(n[i], n[some], bits[i], bits[some])]
+                a.append(np.full(len(some), rep[i]))
+                b.append(rep[some])
             if a:
-                yield pa.record_batch([pa.array(np.array(a)), pa.array(np.array(b))], names=["a", "b"])
+                yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     kind = classes.schema["rep"].dataType.simpleString()
-    return rows.mapInArrow(run, f"a {kind}, b {kind}")
+    return rows.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id, n_shingles, h1, h2 of each row, and rep, root, h1, h2 of each class of equal sets."""
+    """doc_id, n_shingles and digest of each row, and rep, root and digest of each class of equal words."""
     every = written(profiles(docs), "profiles")
-    some = every.where("n_shingles > 0 and doc_id is not null")
-    classes = written(
-        some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys")),
-        "classes",
-    )
-    postings = classes.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
-    lists = written(postings.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1"), "lists")
-    stars = postings.join(lists, "key").where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    classes, filters = _classes(every)
+    small = boundary({r["n"]: r["count"] for r in classes.where(F.col("n") <= MOST_SMALL).groupBy("n").count().collect()})
+    postings = _postings(docs, filters, small)
+    lists = postings.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"), F.count("*").alias("members"))
+    lists = written(lists.where("members > 1 and pivot <> last"), "lists")
+    longer = lists.where("members > 2").select("key", "pivot", "members")
+    bits = bloom.size_for(longer.count())
+    asked = bloom.may_repeat(postings, F.col("key"), bloom.present(longer, "key", bits), bits, "asked").where("asked").drop("asked")
+    hot = _Hot(lists)
+    listed = written(hot.join(asked, longer), "listed")
+    twos = lists.where("members = 2").select(F.col("pivot").alias("a"), F.col("last").alias("b"))
+    stars = twos.union(listed.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))).distinct()
     edges = written(_verified(stars, classes, docs), "links")
     roots = components(edges)
-    more = _across(postings, lists, roots, classes).distinct()
-    links = edges.unionByName(_verified(more, classes, docs))
+    links = edges.unionByName(_verified(_across(listed, hot, roots, classes, small), classes, docs))
     roots = components(links)
-    return every.select("doc_id", "n_shingles", "h1", "h2"), classes.select("rep", "h1", "h2").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    release(lists, listed)
+    return every.select("doc_id", "n_shingles", *CLASS), classes.select("rep", *CLASS).join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
 def membership(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     every, classes = join(docs)
-    found = every.join(classes, ["h1", "h2"], "left")
+    found = every.join(classes, CLASS, "left")
     return found.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that are the smallest ``doc_id`` of their component; a null id stays."""
-    kept = membership(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").unionByName(docs.where("doc_id is null"))
+    kept = membership(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    found = rows.join(kept, F.col("row.doc_id") == F.col("kept"), "left_semi")
+    return found.unionByName(rows.where("row.doc_id is null")).select("row.*")
 
 
 def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -67,20 +67,71 @@ def components(texts, shingle):
     return sets, root
 
 
-@pytest.mark.parametrize("block", [2000, 3])
-def test_jaccard_components(docs, corpus, shingle, monkeypatch, block):
+@pytest.mark.parametrize("block, hot", [(2000, 1000), (3, 4)])
+def test_jaccard_components(docs, corpus, shingle, monkeypatch, block, hot):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    corpus = [*corpus, "a " * 6, "a " * 7, "A  a a a a", "a b " * 9, "a b " * 10]
     sets, root = components(corpus, shingle)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.membership(docs(corpus)).collect()}
     assert got == {i: (len(s), root[i]) for i, s in enumerate(sets)}
-    kept = jaccard_join.drop_near_copies(docs(corpus).withColumn("root", F.lit(1)).withColumn("rep", F.lit(1)))
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+    clash = docs(corpus).withColumn("root", F.lit(1)).withColumn("rep", F.lit(1)).withColumn("kept", F.lit(2)).withColumn("row", F.lit("x"))
+    kept = jaccard_join.drop_near_copies(clash)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root)) and kept.columns == clash.columns
 
 
-def test_jaccard_boundary_is_where_costs_meet():
-    n = jaccard_join.SMALL
-    cost = lambda n: (n - -(-80 * n // 100) + 2) * (n - -(-80 * n // 100) + 1) // 2
-    assert cost(n) <= jaccard_join.LOWEST - 1 < cost(n + 1)
+def test_sets_that_link_share_a_key():
+    """At the least similarity that links, with sizes on both sides of any boundary, and more lists than they need by an eighth."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for small in (1, 14, 40):
+        for n in [*range(1, 60), 75, 100, 333, 1000]:
+            for _ in range(12):
+                m = int(rng.integers(n, 5 * n // 4 + 1))
+                both = -(-4 * (n + m) // 9)
+                if both > n:
+                    continue
+                pool = np.unique(rng.integers(0, 2**63, n + m, dtype=np.uint64))[: n + m - both]
+                place = rng.permutation(len(pool)) if rng.random() < 0.5 else np.arange(len(pool))  # differences anywhere, or all among the first
+                a = np.sort(np.concatenate([pool[place[: n - both]], pool[place[n + m - 2 * both :]]]))
+                b = np.sort(pool[place[n - both :]])
+                key, owner = jaccard_join.set_keys(np.concatenate([a, b]), np.array([0, n, n + m]), small)
+                shared = len(np.intersect1d(key[owner == 0], key[owner == 1]))
+                assert shared >= (1 + n // 10 if n > small and n > 9 else 1), (small, n, m)
+
+
+def test_the_boundary_follows_the_sizes():
+    assert jaccard_join.boundary({}) >= 1
+    for sizes in ({5: 10}, {12: 100, 16: 1}, {16: 100}, {n: 1 for n in range(2, 65)}):
+        best = jaccard_join.boundary(sizes)
+
+        def cost(b):
+            total = 0
+            for n, c in sizes.items():
+                p = min(n, n - -(-8 * n // 10) + 2)
+                total += c * ((p * (p - 1) // 2 if n <= b else 0) + (min(n - 1, 2 * ((n + 5 * n // 4) // 9) + 1 + n // 8) if 5 * n > 4 * b else 0))
+            return total
+
+        assert cost(best) == min(cost(b) for b in range(1, 65))
+
+
+def test_texts_whose_hashes_agree_are_told_apart(docs, monkeypatch):
+    """Words that a polynomial modulo a power of two takes for equal, and any words if all hashes are the same."""
+    import numpy as np
+    import pyarrow as pa
+
+    from blockweave.llm import ragged
+
+    thue = "a"
+    for _ in range(10):
+        thue += thue.translate({97: 98, 98: 97})
+    other = thue.translate({97: 98, 98: 97})
+    texts = [f"one two {thue} three four", f"one two {other} three four", f"ONE two  {thue} three four"]
+    assert [r["component_id"] for r in jaccard_join.membership(docs(texts)).orderBy("doc_id").collect()] == [0, 1, 0]
+    monkeypatch.setattr(ragged, "range_hash", lambda prefix, starts, ends: np.full(len(starts), 3, np.uint64))
+    batch = pa.record_batch({"t_a": pa.array([texts[0], "a b c d e f"]), "t_b": pa.array([texts[1], "A b  c d e f"])})
+    assert jaccard_join.linked(batch).to_pylist() == [False, True]
 
 
 def test_jaccard_null_and_repeated_ids(spark):
