@@ -4,19 +4,18 @@ Documents with equal words form a class, and only classes go on.  Two classes ar
 
 * a small set enumerates all subsets of ``SUBSET`` of its extended prefix, the ``n - ceil(0.8 n) + SUBSET`` smallest shingle
   hashes; sets that link share at least that many of them, so that no link is missed;
-* a large set has an inverted list for each neighbouring pair among its smallest hashes.  In the common order of two sets that
-  link, each element that only one of them has parts two neighbouring pairs at most; with ``d`` such elements, one of the first
-  ``2 d + 1`` pairs is whole in both.  The lists go that far for the largest ``d`` that a set can have, and ``n / 8`` pairs
-  further, so that no link is missed either;
+* a large set has an inverted list for each of its smallest hashes.  Where two sets that link differ by ``d`` elements, they share
+  one of the first ``d + 1`` elements of their union.  The lists go that far for the largest ``d`` that a set can have, and
+  ``n / 8`` elements further, so that no link is missed either;
 * the boundary between them is the size at which the keys of all sets, as their sizes are distributed, are the fewest; sets
   within a factor 0.8 below it do both.
 
 Lists are scanned in two rounds.  First each list links its members to its smallest one (a star, linear in the list).  After
 verification and components, the second round compares, within lists that still hold several components, the members of
 different components; a parity bitmap of each set bounds the symmetric difference from below and prunes pairs exactly.
-A list of more than ``HOT`` members is compared by blocks, and only blocks whose sizes can link meet; a set with so few such lists
-that it must share another list with whatever it links to, by the ``n / 8`` pairs to spare, is left out of them.  Surviving
-pairs are verified by their words, not by hashes.
+A set with so few lists of more than ``HOT`` members that it must share another list with whatever it links to, by the ``n / 8``
+elements to spare, is left out of those; lists of more than ``BLOCK`` members that remain are compared by blocks, and only
+blocks whose sizes can link meet.  Surviving pairs are verified by their words, not by hashes.
 
 Components come from alternating large-star and small-star steps, each stored; nothing gathers on the driver.
 
@@ -44,8 +43,8 @@ SUBSET = 2
 BITMAP_WORDS = 16
 #: Largest size whose sets may enumerate subsets; the boundary is at most this.
 MOST_SMALL = 64
-#: Members beyond which a list is hot, members of one block of it, and ways that its join is split.
-HOT, BLOCK, SALTS = 1000, 2000, 16
+#: Members beyond which a list is hot, members of a list that are compared at once, and ways that a hot list's join is split.
+HOT, BLOCK, SALTS = 100, 2000, 16
 CLASS = ["h1", "h2", "h3", "h4"]
 
 
@@ -59,9 +58,9 @@ def apart(n):
     return (n + 5 * n // 4) // 9
 
 
-def pairs_of(n):
-    """Neighbouring pairs that a large set of n has lists for."""
-    return np.minimum(n - 1, 2 * apart(n) + 1 + n // 8)
+def lists_of(n):
+    """Elements that a large set of n has lists for."""
+    return np.minimum(n, apart(n) + 1 + n // 8)
 
 
 def subsets_of(n):
@@ -74,15 +73,14 @@ def boundary(sizes: dict[int, int]) -> int:
     """The largest size of small sets, at which all sets of these sizes (size: number) have the fewest keys."""
     n = np.array(sorted(k for k in sizes if 1 < k <= MOST_SMALL), dtype=np.int64)
     weight = np.array([sizes[k] for k in n.tolist()], dtype=np.int64)
-    cost = [int((weight * (np.where(n <= b, subsets_of(n), 0) + np.where(5 * n > 4 * b, pairs_of(n), 0))).sum()) for b in range(1, MOST_SMALL + 1)]
+    cost = [int((weight * (np.where(n <= b, subsets_of(n), 0) + np.where(5 * n > 4 * b, lists_of(n), 0))).sum()) for b in range(1, MOST_SMALL + 1)]
     return 1 + int(np.argmin(cost))
 
 
 def set_keys(value: np.ndarray, rows: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys and their rows; a row's keys differ."""
     n = np.diff(rows)
-    single = np.flatnonzero(n == 1)
-    keys, owners = [ragged.mix(value[rows[single]] ^ np.uint64(0xA5A5A5A5))], [single]
+    keys, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     few = np.flatnonzero((n >= 2) & (n <= small))
     if len(few):
         prefix = np.minimum(n[few], n[few] - least(n[few]) + SUBSET)
@@ -91,12 +89,12 @@ def set_keys(value: np.ndarray, rows: np.ndarray, small: int) -> tuple[np.ndarra
                 has = few[prefix > j]
                 keys.append(ragged.mix(value[rows[has] + i] * np.uint64(0x9E3779B97F4A7C15) + value[rows[has] + j]))
                 owners.append(has)
-    many = np.flatnonzero((5 * n > 4 * small) & (n >= 2))
+    many = np.flatnonzero((5 * n > 4 * small) | (n == 1))
     if len(many):
-        count = pairs_of(n[many])
+        count = lists_of(n[many])
         owner = np.repeat(many, count)
         at = np.repeat(rows[many], count) + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        keys.append(ragged.mix(value[at] + value[at + 1] * np.uint64(0xD1B54A32D192ED03)))
+        keys.append(ragged.mix(value[at] ^ np.uint64(0xD1B54A32D192ED03)))
         owners.append(owner)
     return np.concatenate(keys), np.concatenate(owners)
 
@@ -171,17 +169,28 @@ def _classes(every: DataFrame) -> tuple[DataFrame, tuple]:
     return written(single.unionByName(grouped), "classes"), (again, size, bloom.present(grouped, "rep", reps_size), reps_size)
 
 
-def _postings(docs: DataFrame, filters: tuple, small: int) -> DataFrame:
-    """key and rep: the keys of the classes, from their representatives' texts.
+def _slots(key: Column, bits: int) -> list[Column]:
+    """The places of a key, which is a hash itself, in a filter."""
+    return [key.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def _filter(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """A filter of the column ``key``, of bounded size, and its bits."""
+    bits = bloom.size_for(keys.count())
+    return bloom.bitmap(keys.select(F.explode(F.array(*_slots(F.col("key"), bits))).alias("slot")), bits), bits
+
+
+def _postings(docs: DataFrame, filters: tuple, small: int, only: tuple | None = None) -> DataFrame:
+    """key and rep: the keys of the classes, from their representatives' texts, or those of them that a filter holds.
 
     A copy that the filters take for a representative only adds links to its own class.
     """
     again, size, reps, reps_size = filters
-    shared = docs.sparkSession.sparkContext.broadcast((again, reps))
+    shared = docs.sparkSession.sparkContext.broadcast((again, reps, only))
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
-        again, reps = shared.value
+        again, reps, only = shared.value
         for batch in batches:
             for part, flat, off in ragged.chunks(batch, "text"):
                 digest = _digests(flat, off)
@@ -191,6 +200,10 @@ def _postings(docs: DataFrame, filters: tuple, small: int) -> DataFrame:
                 if part.num_rows:
                     value, rows = ragged.shingle_sets(*ragged.buffers(part.column("text")), K)
                     key, owner = set_keys(value, rows, small)
+                    if only is not None:
+                        words, last = only[0], np.uint64(only[1] - 1)
+                        held = bloom.holds(words, key & last, key >> np.uint64(32) & last)
+                        key, owner = key[held], owner[held]
                     yield pa.record_batch([pa.array(ragged.signed(key)), part.column("rep").take(pa.array(owner))], names=["key", "rep"])
 
     first, second = bloom.slots(F.col("doc_id"), reps_size)
@@ -299,41 +312,51 @@ class _Hot:
 
     def __init__(self, lists: DataFrame):
         hot = lists.where(F.col("members") > HOT).select("key")
-        self.n = hot.count()
-        self.bits = bloom.size_for(self.n)
-        self.words = bloom.present(hot, "key", self.bits) if self.n else None
+        self.words, self.bits = _filter(hot)
+        self.shared = lists.sparkSession.sparkContext.broadcast(self.words)
+
+    def _may(self, rows: DataFrame) -> Column:
+        shared = self.shared
+
+        @F.arrow_udf("boolean")
+        def test(first: pa.Array, second: pa.Array) -> pa.Array:
+            return pa.array(bloom.holds(shared.value, first.to_numpy(), second.to_numpy()))
+
+        return test(*_slots(F.col("key"), self.bits)) if self.words.any() else F.lit(False)
 
     def join(self, rows: DataFrame, lists: DataFrame) -> DataFrame:
-        """Rows with what ``lists`` (one row a key) says of their key."""
-        if not self.n:
-            return rows.join(lists, "key")
-        mine, theirs = (bloom.may_repeat(df, F.col("key"), self.words, self.bits, "hot") for df in (rows, lists))
-        cold = mine.where("not hot").drop("hot").join(theirs.where("not hot").drop("hot"), "key")
-        spread = theirs.where("hot").drop("hot").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = mine.where("hot").drop("hot").withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
-        return cold.unionByName(salted.join(spread, ["key", "salt"]).drop("salt"))
+        """Rows with what ``lists`` (one row a key) says of their key; a hot key's rows go ``SALTS`` ways."""
+        salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        theirs = lists.withColumn("hot", self._may(lists)).withColumn("salt", F.explode(salts)).drop("hot")
+        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+        mine = rows.withColumn("hot", self._may(rows)).withColumn("salt", salt).drop("hot")
+        return mine.join(theirs, ["key", "salt"]).drop("salt")
 
 
 def _blocks(members: Column, n: Column, rep: Column) -> Column:
-    """The blocks of its list that a set is compared in, as an array of (lo, hi, own); a list that isn't hot is one.
+    """The blocks of its list that a set is compared in, as an array of (lo, hi, own); a list of up to ``BLOCK`` members is one.
 
-    A hot list has blocks by size class, a factor 1.25 each, and by a hash within a class; only equal and neighbouring classes can link.
+    A longer list has blocks by size class, a factor 1.25 each, and by a hash within a class; only equal and neighbouring classes can link.
     """
     parts = F.ceil(members / BLOCK).cast("int")
     own = F.floor(F.log(n.cast("double")) / math.log(1.25)).cast("int") * F.lit(1 << 20) + F.pmod(F.xxhash64(rep), parts).cast("int")
     others = F.flatten(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.transform(F.sequence(F.lit(0), parts - 1), lambda p: (F.shiftright(own, 20) + d) * F.lit(1 << 20) + p)))
-    hot = F.transform(others, lambda o: F.struct(F.least(own, o).alias("lo"), F.greatest(own, o).alias("hi"), own.alias("own")))
+    many = F.transform(others, lambda o: F.struct(F.least(own, o).alias("lo"), F.greatest(own, o).alias("hi"), own.alias("own")))
     zero = F.lit(0).cast("int")
-    return F.when(members > HOT, hot).otherwise(F.array(F.struct(zero.alias("lo"), zero.alias("hi"), zero.alias("own"))))
+    return F.when(members > BLOCK, many).otherwise(F.array(F.struct(zero.alias("lo"), zero.alias("hi"), zero.alias("own"))))
+
+
+def _uncovered(listed: DataFrame, classes: DataFrame, small: int) -> DataFrame:
+    """Without the sets in hot lists that meet all they link to in other lists as well."""
+    hot = listed.where(F.col("members") > HOT).groupBy("rep").agg(F.count("*").alias("hot_lists"))
+    spare = hot.join(classes.select("rep", F.col("n").alias("size")), "rep").where((F.col("size") > small) & (F.col("hot_lists") <= F.floor(F.col("size") / 10)))
+    placed = listed.join(spare.select("rep", F.lit(True).alias("covered")), "rep", "left")
+    return placed.where((F.col("members") <= HOT) | F.col("covered").isNull()).drop("covered")
 
 
-def _across(listed: DataFrame, hot: _Hot, roots: DataFrame, classes: DataFrame, small: int) -> DataFrame:
+def _across(listed: DataFrame, hot: _Hot, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs a, b of one list and different components that sizes and bitmaps don't rule out."""
     placed = listed.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    if hot.n:
-        spare = listed.where(F.col("members") > HOT).groupBy("rep").agg(F.count("*").alias("hot_lists")).join(classes.select("rep", F.col("n").alias("size")), "rep")
-        spare = spare.where((F.col("size") > small) & (F.col("hot_lists") <= F.floor(F.col("size") / 10))).select("rep", F.lit(True).alias("covered"))
-        placed = placed.join(spare, "rep", "left").where(f"members <= {HOT} or covered is null").drop("covered")
     members = written(placed, "members")
     mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     rows = (
@@ -378,17 +401,16 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lists = postings.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"), F.count("*").alias("members"))
     lists = written(lists.where("members > 1 and pivot <> last"), "lists")
     longer = lists.where("members > 2").select("key", "pivot", "members")
-    bits = bloom.size_for(longer.count())
-    asked = bloom.may_repeat(postings, F.col("key"), bloom.present(longer, "key", bits), bits, "asked").where("asked").drop("asked")
     hot = _Hot(lists)
-    listed = written(hot.join(asked, longer), "listed")
+    found = written(hot.join(_postings(docs, filters, small, _filter(longer)), longer), "found")
+    listed = written(_uncovered(found, classes, small), "listed")
     twos = lists.where("members = 2").select(F.col("pivot").alias("a"), F.col("last").alias("b"))
     stars = twos.union(listed.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))).distinct()
     edges = written(_verified(stars, classes, docs), "links")
     roots = components(edges)
-    links = edges.unionByName(_verified(_across(listed, hot, roots, classes, small), classes, docs))
+    links = edges.unionByName(_verified(_across(listed, hot, roots, classes), classes, docs))
     roots = components(links)
-    release(lists, listed)
+    release(lists, found, listed)
     return every.select("doc_id", "n_shingles", *CLASS), classes.select("rep", *CLASS).join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 

@@ -240,6 +240,17 @@ def grams(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return mix(out[at] + np.uint64(int(_MULT[62]) * k & (2**64 - 1))), row
 
 
+def order_in_rows(value: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Order by row and value: one sort of the row with the value's upper bits, and a full one only where those don't tell values apart."""
+    bits = max(1, int(row.max()).bit_length()) if len(row) else 1
+    packed = row.astype(np.uint64) << np.uint64(64 - bits) | value >> np.uint64(bits)
+    order = np.argsort(packed)
+    packed, sorted_ = packed[order], value[order]
+    if ((packed[1:] == packed[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+        return np.lexsort((value, row))
+    return order
+
+
 def shingle_sets(flat: np.ndarray, off: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word shingles of each row in ascending hash order, and each row's offsets.
 
@@ -256,7 +267,7 @@ def shingle_sets(flat: np.ndarray, off: np.ndarray, k: int = 5) -> tuple[np.ndar
             extra[has] += hashes[rows[short[has]] + j] * _MULT[j]
         value = np.concatenate([value, mix(extra + _MULT[62] * n[short].astype(np.uint64))])
         row = np.concatenate([row, short])
-    order = np.lexsort((value, row))
+    order = order_in_rows(value, row)
     value, row = value[order], row[order]
     if len(value):
         new = np.empty(len(value), dtype=bool)

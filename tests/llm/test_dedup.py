@@ -110,7 +110,7 @@ def test_the_boundary_follows_the_sizes():
             total = 0
             for n, c in sizes.items():
                 p = min(n, n - -(-8 * n // 10) + 2)
-                total += c * ((p * (p - 1) // 2 if n <= b else 0) + (min(n - 1, 2 * ((n + 5 * n // 4) // 9) + 1 + n // 8) if 5 * n > 4 * b else 0))
+                total += c * ((p * (p - 1) // 2 if n <= b else 0) + (min(n, (n + 5 * n // 4) // 9 + 1 + n // 8) if 5 * n > 4 * b else 0))
             return total
 
         assert cost(best) == min(cost(b) for b in range(1, 65))
