@@ -1,3 +1,5 @@
+from html.parser import HTMLParser
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -76,11 +78,79 @@ def test_deep_nesting():
     assert html_extract.extract("<div class=ad><b>" * 3000 + "x" + "</div>" * 3000 + "<p>y</p>") == "y"
 
 
+class Blocks(HTMLParser):
+    """An extraction of its own for well-formed articles: texts of blocks, without what asides hold."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.lines, self.away = [""], 0
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        kind = dict(attrs).get("class") or ""
+        if self.away or tag in ("aside", "form") or kind in ("share", "ad-box"):
+            self.away += tag != "input"
+        elif tag in html_extract.BLOCKS:
+            self.lines.append("")
+
+    def handle_endtag(self, tag):
+        if self.away:
+            self.away -= 1
+        elif tag in html_extract.BLOCKS:
+            self.lines.append("")
+
+    def handle_data(self, data):
+        if not self.away:
+            self.lines[-1] += data
+
+    def text(self):
+        return "\n".join(line for line in (" ".join(x.split()) for x in self.lines) if line)
+
+
 @pytest.mark.parametrize("page", html_extract.LABELLED)
 def test_labelled_pages(page):
     start, end = page.index("⟦"), page.index("⟧")
-    want = html_extract.extract(f"<article>{page[start + 1 : end]}</article>")
-    assert html_extract.extract(page.replace("⟦", "").replace("⟧", "")) == want
+    assert html_extract.extract(page.replace("⟦", "").replace("⟧", "")) == Blocks(page[start + 1 : end]).text()
+
+
+@pytest.mark.parametrize("wrapper", range(len(html_extract._WRAPPERS)))
+def test_layouts_left_out_of_the_fit(wrapper):
+    """Weights fitted on the other layouts find the article in this one."""
+    each = len(html_extract._INSIDE)
+    by_rule = html_extract._by_rule()
+    mine = by_rule[wrapper * each : (wrapper + 1) * each]
+    weights = html_extract.fit([p for p in html_extract.LABELLED if p not in mine])
+    for page in mine:
+        start, end = page.index("⟦"), page.index("⟧")
+        assert html_extract.extract(page.replace("⟦", "").replace("⟧", ""), weights) == Blocks(page[start + 1 : end]).text()
+
+
+@pytest.mark.parametrize("names", ["page has-sidebar", "no-sidebar", "post with-comments", "nav-open layout", "entry widget", "theme-share-button", "footer-fixed page", "cookie-bar-visible", "comments-page single", "story notice", "related"])
+@pytest.mark.parametrize("page", ["<body><div class='{0}'>{1}</div></body>", "<body class='{0}'><div>{1}</div></body>", "<body><div class='{0}'><div class=menu><a href=x>Home</a></div><div id=content>{1}</div><div class=footer>(c) 2020</div></div></body>"])
+def test_layout_classes_keep_their_text(names, page):
+    assert html_extract.extract(page.format(names, ARTICLE)) == f"Rain comes\n{WORDS}\nLast words."
+
+
+HOSTILE = {
+    "quotes": lambda n: '<a "' * n,
+    "closers": lambda n: "<div>" * n + "</p></b>" * n,
+    "strays": lambda n: "<div>" * n + "x</span>" * n,
+    "odd quotes": lambda n: "<a '>' " * n + "'",
+    "open tags": lambda n: "<p " * n,
+    "inline": lambda n: "<td>" + "<b>" * n + "<p></p>" * n,
+    "names": lambda n: f"<div class='has{'_advert' * n}!'>x</div>",
+    "words": lambda n: "<p>" + "word " * n,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_hostile_pages_take_linear_time(kind):
+    import time
+
+    page = HOSTILE[kind](1_000_000 // (len(HOSTILE[kind](2)) - len(HOSTILE[kind](1))))
+    began = time.perf_counter()
+    html_extract.extract(page)
+    assert len(page) > 900_000 and time.perf_counter() - began < 10
 
 
 @settings(max_examples=200, deadline=None)
