@@ -33,6 +33,14 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _tables: dict = {}
 
 
+def _family(seed: int) -> tuple[list[int], list[np.ndarray]]:
+    """Bases and byte values of a family of hashes; 0 is the usual one."""
+    if not seed:
+        return _BASES, _BYTE
+    rng = np.random.default_rng([20240229, seed])
+    return [int(x) for x in rng.integers(1 << 20, PRIME - 1, 2)], [rng.integers(1, PRIME, 256).astype(np.uint64) for _ in range(2)]
+
+
 def _fold(x: np.ndarray) -> np.ndarray:
     """Something smaller that is equal modulo the prime."""
     return (x & _P) + (x >> _SHIFT)
@@ -131,19 +139,20 @@ def words(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, off)
 
 
-def prefix_hash(flat: np.ndarray, lower: bool = False) -> np.ndarray:
+def prefix_hash(flat: np.ndarray, lower: bool = False, seed: int = 0) -> np.ndarray:
     """Sums of byte values times powers of the base, for both bases; entry i of a row covers the first i bytes."""
-    out = np.zeros((len(_BASES), len(flat) + 1), dtype=np.uint64)
-    for i, base in enumerate(_BASES):
-        table = _BYTE[i][_LOWER] if lower else _BYTE[i]
+    bases, values = _family(seed)
+    out = np.zeros((len(bases), len(flat) + 1), dtype=np.uint64)
+    for i, base in enumerate(bases):
+        table = values[i][_LOWER] if lower else values[i]
         np.cumsum(_fold(table[flat] * _powers(base, len(flat))), out=out[i, 1:])
     return out
 
 
-def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """Hash of each range of bytes, the same wherever the range stands: both polynomials in 62 bits, mixed with the length."""
     parts = []
-    for i, base in enumerate(_BASES):
+    for i, base in enumerate(_family(seed)[0]):
         back = _powers(pow(base, -1, PRIME), prefix.shape[1])[starts]
         parts.append(_reduced(_fold(prefix[i, ends] - prefix[i, starts]) * back))
     return mix((parts[0] << _SHIFT | parts[1]) + (ends - starts).astype(np.uint64) * _MULT[63])

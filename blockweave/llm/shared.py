@@ -26,9 +26,13 @@ BATCH_BYTES, BATCH_ROWS = 4 << 20, 4000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of this session, so that a worker's memory doesn't follow the length of its texts."""
+    """Bounds the Arrow batches of this session, so that a worker's memory doesn't follow the length of its texts.
+
+    Shuffle files go when the query that wrote them has ended, since what is read again is stored as a table.
+    """
     for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
         spark.conf.set(key, str(most))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 _paths: dict[str, list[str]] = {}

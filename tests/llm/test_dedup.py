@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from blockweave.llm import bloom, exact_dedup, jaccard_join, suffix_dedup
+from blockweave.llm import bloom, exact_dedup, jaccard_join, shared, suffix_dedup
 
 
 def plain(text):
@@ -159,29 +159,63 @@ def removed(texts):
 @pytest.mark.parametrize("hot", [50_000, 1])
 def test_repeated_strings(docs, corpus, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT_SPANS", hot)
-    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.digest(docs(corpus)).collect()}
+    clash = docs(corpus).withColumn("anchor", F.lit("x")).withColumn("span", F.lit(1)).withColumn("id", F.lit(2)).withColumn("held", F.lit(True))
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.digest(clash).collect()}
     assert got == removed(corpus)
 
 
-def test_repeated_strings_in_small_pieces(docs, corpus, monkeypatch):
-    """Very long texts go by parts; spans are sorted a few at a time."""
-    monkeypatch.setattr(suffix_dedup, "_PLACE_BITS", 10)
-    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 2000)
-    monkeypatch.setattr(suffix_dedup, "COMPARED", 7)
-    source = docs(corpus)
-    import blockweave.llm.suffix_dedup as s
-
+def test_repeated_strings_in_small_pieces(corpus, monkeypatch):
+    """Very long texts go by parts."""
     import numpy as np
     import pyarrow as pa
 
     from blockweave.llm import ragged
 
+    monkeypatch.setattr(suffix_dedup, "_PLACE_BITS", 10)
     whole = pa.record_batch({"t": pa.array([t or "" for t in corpus])})
     for part, flat, off in ragged.chunks(whole, "t", 1):
-        row, start, count, lead, *_ = s.spans(flat, off)
+        row, start, count, lead, *_ = suffix_dedup.spans(flat, off)
         covered = np.concatenate([np.arange(a, a + c) for a, c in zip(start, count)]) if len(row) else np.empty(0)
         assert sorted(covered) == list(range(max(0, len(flat) - 99)))
-    assert source.count() == len(corpus)
+
+
+@pytest.mark.parametrize("hot", [50_000, 3])
+def test_streams_of_small_batches_agree(docs, corpus, monkeypatch, hot):
+    """Classes, anchors and runs that go over several batches; the limits are sent to the workers with the functions."""
+    monkeypatch.setattr(shared, "BATCH_ROWS", 3)
+    for limit, value in (("SORT_BYTES", 700), ("COMPARED", 7), ("APART_SPANS", 2), ("HOT_SPANS", hot)):
+        monkeypatch.setattr(suffix_dedup, limit, value)
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.digest(docs(corpus)).collect()}
+    assert got == removed(corpus)
+
+
+def test_a_collision_starts_anew_with_other_hashes(docs, corpus, monkeypatch):
+    """Hashes of spans that all agree are found out by their bytes, and the next family gives the right result."""
+    real, seeds = suffix_dedup._span_rows, []
+
+    def weak(source, seed):
+        seeds.append(seed)
+        rows = real(source, seed)
+        return rows if seed else rows.withColumn("span", F.lit(5).cast("long"))
+
+    monkeypatch.setattr(suffix_dedup, "_span_rows", weak)
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.digest(docs(corpus)).collect()}
+    assert got == removed(corpus) and seeds == [0, 1]
+
+
+def test_windows_whose_hashes_agree_are_sorted_by_their_bytes(monkeypatch):
+    import numpy as np
+
+    from blockweave.llm import ragged
+
+    a, b = bytes(range(97, 197)), bytes(range(96, 196))
+    flat = np.frombuffer(a + b + a + b + a, np.uint8)
+    args = flat, np.arange(5) * 100, np.ones(5, np.int64), np.zeros(5, np.int64), np.zeros(5, np.int64), np.arange(5), np.zeros(5, np.int64)
+    want = [(2, 0), (3, 1), (4, 0)]
+    pairs = lambda: sorted(zip(*(x.tolist() for x in suffix_dedup.repeated_windows(*args)[::2])))
+    assert pairs() == want
+    monkeypatch.setattr(ragged, "range_hash", lambda prefix, starts, ends, seed=0: np.zeros(len(starts), np.uint64))
+    assert pairs() == want
 
 
 def test_suffix_sort_orders_suffixes():
@@ -206,3 +240,11 @@ def test_repeated_ids_are_one_document(spark):
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (2, "short")], "doc_id long, text string")
     got = sorted((str(r["doc_id"]), r["n_removed"]) for r in suffix_dedup.digest(df).collect())
     assert got == [("1", 0), ("1", 0), ("2", 0), ("None", len(text))]
+
+
+def test_ids_with_several_texts(spark):
+    """One text stands for the id; rows of others have nothing removed."""
+    text = "".join(map(str, range(200)))
+    df = spark.createDataFrame([(1, text), (2, text), (2, "x" + text + "y"), (3, text)], "doc_id long, text string")
+    got = [(r["doc_id"], r["n_removed"]) for r in suffix_dedup.digest(df).collect()]
+    assert sorted(got) in ([(1, 0), (2, 0), (2, len(text)), (3, len(text))],)
