@@ -12,7 +12,8 @@ Documents with equal words form a class, and only classes go on.  Two classes ar
 
 Lists are scanned in two rounds.  First each list links its members to its smallest one (a star, linear in the list).  After
 verification and components, the second round compares, within lists that still hold several components, the members of
-different components; a parity bitmap of each set bounds the symmetric difference from below and prunes pairs exactly.
+different components; a parity bitmap of each set, as wide as its size asks for, bounds the symmetric difference from below and
+prunes pairs exactly.
 A set with so few lists of more than ``HOT`` members that it must share another list with whatever it links to, by the ``n / 8``
 elements to spare, is left out of those; lists of more than ``BLOCK`` members that remain are compared by blocks, and only
 blocks whose sizes can link meet.  Surviving pairs are verified by their words, not by hashes.
@@ -40,7 +41,10 @@ from blockweave.llm.shared import release, small_batches, written
 
 K = 5
 SUBSET = 2
-BITMAP_WORDS = 16
+#: Words of the narrowest and the widest bitmap; there are two bits for each element in between.
+NARROW, WIDE = 16, 1024
+#: Pairs of a list that are compared at once.
+PAIRS = 200_000
 #: Largest size whose sets may enumerate subsets; the boundary is at most this.
 MOST_SMALL = 64
 #: Members beyond which a list is hot, members of a list that are compared at once, and ways that a hot list's join is split.
@@ -99,30 +103,55 @@ def set_keys(value: np.ndarray, rows: np.ndarray, small: int) -> tuple[np.ndarra
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def bitmaps(value: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Parity of the number of elements in each of ``64 * BITMAP_WORDS`` buckets, a row of words for each set."""
-    n = len(rows) - 1
-    owner = np.repeat(np.arange(n), np.diff(rows))
-    bucket = (value >> np.uint64(7)).astype(np.int64) & (64 * BITMAP_WORDS - 1)
-    odd = np.bincount(owner * (64 * BITMAP_WORDS) + bucket, minlength=n * 64 * BITMAP_WORDS).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(n, -1), axis=1).view(np.uint64).reshape(n, BITMAP_WORDS)
-
-
-def _binary(rows: np.ndarray) -> pa.Array:
-    """Rows of equal width as binary."""
-    width = rows.shape[1] * rows.itemsize
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(0, (len(rows) + 1) * width, width, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
-
-
-def _words(column: pa.Array) -> np.ndarray:
-    flat, _ = ragged.buffers(column)
-    return np.frombuffer(flat.tobytes(), dtype=np.uint64).reshape(len(column), BITMAP_WORDS)
-
-
-def _could_link(n_a, n_b, bits_a, bits_b) -> np.ndarray:
-    """Exact pruning by sizes and by the bound on the symmetric difference."""
-    apart = np.bitwise_count(bits_a ^ bits_b).sum(axis=-1, dtype=np.int64)
-    return (5 * np.minimum(n_a, n_b) >= 4 * np.maximum(n_a, n_b)) & (9 * apart <= n_a + n_b)
+def bitmaps(value: np.ndarray, rows: np.ndarray) -> pa.Array:
+    """Parity of the number of elements in each bucket, as binary of 16 words or more for each set: a power of two with two bits an element."""
+    n = np.diff(rows)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 32)).clip(0).astype(np.int64), NARROW, WIDE)
+    out = [b""] * len(n)
+    for w in np.unique(width).tolist():
+        some = np.flatnonzero(width == w)
+        owner = np.repeat(np.arange(len(some)), n[some])
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(n[some]) - n[some], n[some]) + np.repeat(rows[some], n[some])
+        bucket = (value[at] >> np.uint64(7)).astype(np.int64) & (64 * w - 1)
+        odd = np.bincount(owner * (64 * w) + bucket, minlength=len(some) * 64 * w).astype(np.uint8) & 1
+        for i, packed in zip(some.tolist(), np.packbits(odd.reshape(len(some), -1), axis=1), strict=True):
+            out[i] = packed.tobytes()
+    return pa.array(out, pa.binary())
+
+
+class Bits:
+    """Bitmaps of a column, by width."""
+
+    def __init__(self, column: pa.Array):
+        flat, off = ragged.buffers(column)
+        self.width = np.diff(off) // 8
+        self.place, self.held = np.zeros(len(column), np.int64), {}
+        for w in np.unique(self.width).tolist():
+            some = np.flatnonzero(self.width == w)
+            self.place[some] = np.arange(len(some))
+            self.held[w] = np.ascontiguousarray(flat[off[some][:, None] + np.arange(8 * w)]).view(np.uint64)
+
+    def take(self, i: np.ndarray, own: int, w: int) -> np.ndarray:
+        """Rows i, all of the width ``own``, folded to the width w."""
+        out = self.held[own][self.place[i]]
+        while out.shape[1] > w:
+            out = out[:, : out.shape[1] // 2] ^ out[:, out.shape[1] // 2 :]
+        return out
+
+
+def could_link(n_a: np.ndarray, n_b: np.ndarray, a: Bits, i: np.ndarray, b: Bits, j: np.ndarray) -> np.ndarray:
+    """Whether sizes and bitmaps leave it open that the sets i of a and j of b link: exact pruning."""
+    open_ = 5 * np.minimum(n_a, n_b) >= 4 * np.maximum(n_a, n_b)
+    kinds = a.width[i] << 20 | b.width[j]
+    for kind in np.unique(kinds[open_]).tolist():
+        w_a, w_b = kind >> 20, kind & (1 << 20) - 1
+        w = min(w_a, w_b)
+        some = np.flatnonzero(open_ & (kinds == kind))
+        for at in range(0, len(some), max(1, (1 << 18) // max(w_a, w_b))):
+            part = some[at : at + max(1, (1 << 18) // max(w_a, w_b))]
+            apart_ = np.bitwise_count(a.take(i[part], w_a, w) ^ b.take(j[part], w_b, w)).sum(axis=1, dtype=np.int64)
+            open_[part] = 9 * apart_ <= n_a[part] + n_b[part]
+    return open_
 
 
 def _digests(flat: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -141,7 +170,7 @@ def profiles(docs: DataFrame) -> DataFrame:
             for part, flat, off in ragged.chunks(batch, "text"):
                 value, rows = ragged.shingle_sets(flat, off, K)
                 digest = np.ascontiguousarray(_digests(flat, off).T)
-                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(rows)), *map(pa.array, digest), _binary(bitmaps(value, rows))], names=["doc_id", "n_shingles", *CLASS, "bits"])
+                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(rows)), *map(pa.array, digest), bitmaps(value, rows)], names=["doc_id", "n_shingles", *CLASS, "bits"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, h1 long, h2 long, h3 long, h4 long, bits binary")
 
@@ -222,7 +251,8 @@ def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-                keep = _could_link(n_a, n_b, _words(batch.column("bits_a")), _words(batch.column("bits_b")))
+                each = np.arange(batch.num_rows)
+                keep = could_link(n_a, n_b, Bits(batch.column("bits_a")), each, Bits(batch.column("bits_b")), each)
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     kind = classes.schema["rep"].dataType.simpleString()
@@ -285,26 +315,44 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _lists(batches, columns: list[str]):
-    """Tables of consecutive rows that agree on the columns, from sorted batches."""
-    held = None
+def _whole_lists(batches, columns: list[str]):
+    """Tables of whole lists, rows that agree on the columns, from sorted batches; and the places where their lists begin."""
+    held = []
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if held is None else pa.concat_tables([held, table])
-        table = table.combine_chunks()
-        n = table.num_rows
-        if not n:
-            continue
-        new = np.zeros(n, dtype=bool)
-        for c in columns:
-            v = table.column(c).to_numpy()
-            new[1:] |= v[1:] != v[:-1]
-        cuts = np.concatenate([[0], np.flatnonzero(new), [n]])
-        for a, b in zip(cuts[:-2], cuts[1:-1], strict=True):
-            yield table.slice(a, b - a)
-        held = table.slice(cuts[-2])
-    if held is not None and held.num_rows:
-        yield held
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        heads = _heads(table, columns)
+        if len(heads) > 1:
+            yield table.slice(0, heads[-1]), heads[:-1]
+            held = table.slice(heads[-1]).combine_chunks().to_batches()
+        else:
+            held = table.to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        if table.num_rows:
+            yield table, _heads(table, columns)
+
+
+def _heads(table: pa.Table, columns: list[str]) -> np.ndarray:
+    new = np.arange(table.num_rows) == 0
+    for c in columns:
+        v = table.column(c).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
+def _pairs(heads: np.ndarray, n: int):
+    """Places i < j of the pairs of each list, some lists or parts of lists at a time."""
+    ends = np.repeat(np.append(heads[1:], n), np.diff(np.append(heads, n)))
+    count = ends - np.arange(n) - 1
+    upto = np.cumsum(count)
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+        c = count[at:to]
+        i = np.repeat(np.arange(at, to), c)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+        at = to
 
 
 class _Hot:
@@ -369,24 +417,15 @@ def _across(listed: DataFrame, hot: _Hot, roots: DataFrame, classes: DataFrame)
     )
 
     def run(batches):
-        for part in _lists(batches, ["key", "lo", "hi"]):
-            n, rep, root, own = (part.column(c).to_numpy() for c in ("n", "rep", "root", "own"))
-            bits, differ = _words(part.column("bits").combine_chunks()), part.column("lo")[0].as_py() != part.column("hi")[0].as_py()
-            pivot = part.column("pivot")[0].as_py()
-            a, b = [], []
-            for i in range(len(rep) - 1):
-                if rep[i] == pivot:  # the first round compared it with all
-                    continue
-                rest = slice(i + 1, None)
-                ok = (root[rest] != root[i]) & (rep[rest] != pivot)
-                if differ:
-                    ok &= own[rest] != own[i]
-                some = np.flatnonzero(ok) + i + 1
-                some = some[_could_link(n[i], n[some], bits[i], bits[some])]
-                a.append(np.full(len(some), rep[i]))
-                b.append(rep[some])
-            if a:
-                yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+        for table, heads in _whole_lists(batches, ["key", "lo", "hi"]):
+            n, rep, root, own, lo, hi, pivot = (table.column(c).to_numpy() for c in ("n", "rep", "root", "own", "lo", "hi", "pivot"))
+            bits = Bits(table.column("bits").combine_chunks())
+            for i, j in _pairs(heads, len(rep)):
+                # the first round compared the pivot with all; of two blocks only pairs across count
+                ok = (root[i] != root[j]) & (rep[i] != pivot[i]) & (rep[j] != pivot[i]) & ((lo[i] == hi[i]) | (own[i] != own[j]))
+                i, j = i[ok], j[ok]
+                keep = could_link(n[i], n[j], bits, i, bits, j)
+                yield pa.record_batch([pa.array(rep[i[keep]]), pa.array(rep[j[keep]])], names=["a", "b"])
 
     kind = classes.schema["rep"].dataType.simpleString()
     return rows.mapInArrow(run, f"a {kind}, b {kind}").distinct()

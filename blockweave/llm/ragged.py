@@ -158,10 +158,21 @@ def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: i
     return mix((parts[0] << _SHIFT | parts[1]) + (ends - starts).astype(np.uint64) * _MULT[63])
 
 
-def window_keys(flat: np.ndarray, width: int) -> np.ndarray:
-    """A quick key of each ``width`` neighbouring bytes (a polynomial modulo 2**64): equal bytes have equal keys, not the other way round."""
+def quick_prefix(flat: np.ndarray) -> np.ndarray:
+    """Prefix polynomial hashes modulo 2**64: quick, for uses in which bytes decide afterwards."""
     prefix = np.zeros(len(flat) + 1, dtype=np.uint64)
     np.cumsum(_FAST_BYTE[flat] * _fast_powers(_FAST_BASE, len(flat)), out=prefix[1:])
+    return prefix
+
+
+def quick_range(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A quick hash of each range of bytes: equal bytes have equal hashes, not the other way round."""
+    return (prefix[ends] - prefix[starts]) * _fast_powers(pow(_FAST_BASE, -1, 1 << 64), len(prefix))[starts]
+
+
+def window_keys(flat: np.ndarray, width: int) -> np.ndarray:
+    """A quick key of each ``width`` neighbouring bytes."""
+    prefix = quick_prefix(flat)
     n = len(flat) - width + 1
     return mix((prefix[width:] - prefix[:n]) * _fast_powers(pow(_FAST_BASE, -1, 1 << 64), n))
 

@@ -174,7 +174,7 @@ def common_extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, most: int
         if not open_.any():
             return low
         middle = (low + high + 1) >> 1
-        same = ragged.range_hash(prefix, a, a + middle) == ragged.range_hash(prefix, b, b + middle)
+        same = ragged.quick_range(prefix, a, a + middle) == ragged.quick_range(prefix, b, b + middle)
         low, high = np.where(open_ & same, middle, low), np.where(open_ & ~same, middle - 1, high)
 
 
@@ -247,7 +247,7 @@ def repeated_windows(flat: np.ndarray, begin: np.ndarray, count: np.ndarray, lea
         return owner, inner, owner, inner
     suffix = begin[owner] + inner
     heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    prefix = ragged.prefix_hash(flat)
+    prefix = ragged.quick_prefix(flat)
     order = sort_suffixes(flat, prefix, suffix, heads)
     same = _equal_to_the_one_before(flat, suffix[order], group, compared)
     pair = np.flatnonzero((group[1:] == group[:-1]) & ~same[1:])
@@ -269,7 +269,14 @@ def _with_lists(docs: DataFrame, lists: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """The spans to compare, with their bytes, cut from their documents."""
+    """The spans to compare, with their bytes, cut from their documents, and whether their anchor is hot.
+
+    A filter tells hot anchors; one that it takes for hot goes the same way with all its spans.
+    """
+    hot = edges.groupBy("anchor").count().where(F.col("count") > HOT_SPANS).select("anchor")
+    bits = bloom.size_for(hot.count())
+    slots = F.explode(F.array(*[F.shiftrightunsigned("anchor", k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)])).alias("slot")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.bitmap(hot.select(slots), bits))
     lists = edges.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "windows")).alias("spans"))
     most = SORT_BYTES
 
@@ -280,6 +287,8 @@ def _pieces(docs: DataFrame, edges: DataFrame) -> DataFrame:
             cuts = lists.offsets.to_numpy()
             fields = lists.values.flatten()
             anchor, windows = fields[0].to_numpy()[cuts[0] : cuts[-1]], fields[1].to_numpy()[cuts[0] : cuts[-1]]
+            key = anchor.view(np.uint64)
+            hot = bloom.holds(shared.value, key & np.uint64(bits - 1), key >> np.uint64(32) & np.uint64(bits - 1))
             row = np.repeat(np.arange(batch.num_rows), np.diff(cuts))
             doc, first, size = batch.column("doc_id").to_numpy()[row], off[row] + (windows >> 16), (windows >> 8 & 255) + LENGTH - 1
             ends = np.cumsum(size)
@@ -290,11 +299,11 @@ def _pieces(docs: DataFrame, edges: DataFrame) -> DataFrame:
                 begin = np.concatenate([[0], np.cumsum(n)])
                 data = flat[np.arange(begin[-1]) + np.repeat(first[at:to] - begin[:-1], n)]
                 content = pa.Array.from_buffers(pa.binary(), to - at, [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
-                yield pa.record_batch([pa.array(anchor[at:to]), pa.array(doc[at:to]), pa.array(windows[at:to] >> 16), pa.array(windows[at:to] & 255), content], names=["anchor", "doc_id", "start", "lead", "content"])
+                yield pa.record_batch([pa.array(anchor[at:to]), pa.array(doc[at:to]), pa.array(windows[at:to] >> 16), pa.array(windows[at:to] & 255), content, pa.array(hot[at:to])], names=["anchor", "doc_id", "start", "lead", "content", "hot"])
                 at = to
 
     ids = edges.select("doc_id").distinct()
-    return _with_lists(docs, lists, ids).select("doc_id", "text", "spans").mapInArrow(run, "anchor long, doc_id long, start long, lead long, content binary")
+    return _with_lists(docs, lists, ids).select("doc_id", "text", "spans").mapInArrow(run, "anchor long, doc_id long, start long, lead long, content binary, hot boolean")
 
 
 def _compared(pieces: DataFrame) -> DataFrame:
@@ -418,16 +427,9 @@ def _repeats(source: DataFrame, seed: int) -> DataFrame:
     found = written(_classes(_span_rows(source, seed)), "spans")
     edges = found.where("anchor is not null").select("anchor", "doc_id", "windows")
     pieces = written(_pieces(source, edges), "pieces")
-    hot = pieces.groupBy("anchor").count().where(F.col("count") > HOT_SPANS).select("anchor")
-    bits = bloom.size_for(hot.count())
-    words = bloom.present(hot, "anchor", bits)
-    result = found.where("anchor is null").select(*_NAMES)
-    if words.any():  # an anchor that the filter takes for a hot one goes the same way with all its spans
-        tested = bloom.may_repeat(pieces, F.col("anchor"), words, bits, "hot")
-        apart = _compared_apart(tested.where("hot").drop("hot"), seed)
-        result = result.union(apart).union(_compared(tested.where("not hot").drop("hot")))
-    else:
-        result = result.union(_compared(pieces))
+    result = found.where("anchor is null").select(*_NAMES).union(_compared(pieces.where("not hot").drop("hot")))
+    if pieces.where("hot").take(1):
+        result = result.union(_compared_apart(pieces.where("hot").drop("hot"), seed))
     runs = written(_joined(result), "runs")
     release(found, pieces)
     return runs

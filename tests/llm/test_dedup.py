@@ -101,6 +101,29 @@ def test_sets_that_link_share_a_key():
                 assert shared >= (1 + n // 10 if n > small and n > 9 else 1), (small, n, m)
 
 
+def test_bitmaps_prune_only_what_cannot_link():
+    """Sets of all widths: pairs that link are never pruned, and few pairs with nothing in common are left."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (1, 5, 60, 500, 520, 1000, 1030, 5000, 20000, 70000):
+        base = np.unique(rng.integers(0, 2**63, 2 * n, dtype=np.uint64))[:n]
+        rng.shuffle(base)
+        cut = n // 10
+        sets += [np.sort(base), np.sort(np.concatenate([base[cut:], rng.integers(0, 2**63, cut, dtype=np.uint64)]))]
+    sets = [np.unique(x) for x in sets]
+    rows = np.cumsum([0, *map(len, sets)])
+    bits = jaccard_join.Bits(jaccard_join.bitmaps(np.concatenate(sets), rows))
+    n = np.diff(rows)
+    i, j = np.triu_indices(len(sets), 1)
+    left = jaccard_join.could_link(n[i], n[j], bits, i, bits, j)
+    for a, b, open_ in zip(i, j, left):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        assert open_ or 100 * both < 80 * (len(sets[a]) + len(sets[b]) - both)
+        assert not open_ or both or n[a] < 5 or n[a] > 60000
+
+
 def test_the_boundary_follows_the_sizes():
     assert jaccard_join.boundary({}) >= 1
     for sizes in ({5: 10}, {12: 100, 16: 1}, {16: 100}, {n: 1 for n in range(2, 65)}):
@@ -214,7 +237,7 @@ def test_windows_whose_hashes_agree_are_sorted_by_their_bytes(monkeypatch):
     want = [(2, 0), (3, 1), (4, 0)]
     pairs = lambda: sorted(zip(*(x.tolist() for x in suffix_dedup.repeated_windows(*args)[::2])))
     assert pairs() == want
-    monkeypatch.setattr(ragged, "range_hash", lambda prefix, starts, ends, seed=0: np.zeros(len(starts), np.uint64))
+    monkeypatch.setattr(ragged, "quick_range", lambda prefix, starts, ends: np.zeros(len(starts), np.uint64))
     assert pairs() == want
 
 
@@ -228,7 +251,7 @@ def test_suffix_sort_orders_suffixes():
     data[1000:2000] = data[:1000]
     suffix = rng.integers(0, 3900, 300)
     heads = np.array([0, 1, 4, 130, 131])
-    order = suffix_dedup.sort_suffixes(data, ragged.prefix_hash(data), suffix, heads)
+    order = suffix_dedup.sort_suffixes(data, ragged.quick_prefix(data), suffix, heads)
     raw = data.tobytes()
     for a, b in zip(heads, [*heads[1:], 300]):
         want = sorted(range(a, b), key=lambda i: raw[suffix[i] : suffix[i] + 100])
