@@ -41,14 +41,14 @@ from blockweave.llm.shared import release, small_batches, written
 
 K = 5
 SUBSET = 2
-#: Words of the narrowest and the widest bitmap; there are two bits for each element in between.
-NARROW, WIDE = 16, 1024
+#: Words of the narrowest and the widest bitmap; there is a bit for each element in between.
+NARROW, WIDE = 4, 1024
 #: Pairs of a list that are compared at once.
 PAIRS = 200_000
 #: Largest size whose sets may enumerate subsets; the boundary is at most this.
 MOST_SMALL = 64
 #: Members beyond which a list is hot, members of a list that are compared at once, and ways that a hot list's join is split.
-HOT, BLOCK, SALTS = 100, 2000, 16
+HOT, BLOCK, SALTS = 50, 2000, 16
 CLASS = ["h1", "h2", "h3", "h4"]
 
 
@@ -104,9 +104,9 @@ def set_keys(value: np.ndarray, rows: np.ndarray, small: int) -> tuple[np.ndarra
 
 
 def bitmaps(value: np.ndarray, rows: np.ndarray) -> pa.Array:
-    """Parity of the number of elements in each bucket, as binary of 16 words or more for each set: a power of two with two bits an element."""
+    """Parity of the number of elements in each bucket, as binary for each set: a power of two of words with a bit for each element."""
     n = np.diff(rows)
-    width = np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 32)).clip(0).astype(np.int64), NARROW, WIDE)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 64)).clip(0).astype(np.int64), NARROW, WIDE)
     out = [b""] * len(n)
     for w in np.unique(width).tolist():
         some = np.flatnonzero(width == w)

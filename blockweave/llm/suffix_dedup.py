@@ -262,10 +262,13 @@ def repeated_windows(flat: np.ndarray, begin: np.ndarray, count: np.ndarray, lea
 
 
 def _with_lists(docs: DataFrame, lists: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, text and what ``lists`` (one row a document) says; a filter of the ids keeps other texts out of the shuffle."""
+    """doc_id, text and what ``lists`` (one row a document) says; a filter of the ids keeps other texts out of the shuffle.
+
+    The join is always a shuffled one, so that the filter and what reads the texts don't hold Python workers in the same task.
+    """
     bits = bloom.size_for(ids.count())
     held = bloom.may_repeat(docs, F.col("doc_id"), bloom.present(ids, "doc_id", bits), bits, "held")
-    return held.where("held").drop("held").join(lists, "doc_id")
+    return held.where("held").drop("held").join(lists.hint("merge"), "doc_id")
 
 
 def _pieces(docs: DataFrame, edges: DataFrame) -> DataFrame:
