@@ -42,7 +42,7 @@ from blockweave.llm.shared import release, small_batches, written
 K = 5
 SUBSET = 2
 #: Words of the narrowest and the widest bitmap; there is a bit for each element in between.
-NARROW, WIDE = 4, 1024
+NARROW, WIDE = 16, 1024
 #: Pairs of a list that are compared at once.
 PAIRS = 200_000
 #: Largest size whose sets may enumerate subsets; the boundary is at most this.
@@ -425,7 +425,8 @@ def _across(listed: DataFrame, hot: _Hot, roots: DataFrame, classes: DataFrame)
                 ok = (root[i] != root[j]) & (rep[i] != pivot[i]) & (rep[j] != pivot[i]) & ((lo[i] == hi[i]) | (own[i] != own[j]))
                 i, j = i[ok], j[ok]
                 keep = could_link(n[i], n[j], bits, i, bits, j)
-                yield pa.record_batch([pa.array(rep[i[keep]]), pa.array(rep[j[keep]])], names=["a", "b"])
+                found = np.unique(np.stack([rep[i[keep]], rep[j[keep]]]), axis=1)  # pairs meet in several lists
+                yield pa.record_batch([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     kind = classes.schema["rep"].dataType.simpleString()
     return rows.mapInArrow(run, f"a {kind}, b {kind}").distinct()

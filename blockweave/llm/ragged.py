@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a single longer text is worked on alone.
 CHUNK_BYTES = 1 << 19
+#: Bytes that are hashed at once.
+BLOCK = 1 << 17
 
 #: Hashes are polynomials modulo this prime, with two bases: no fixed pair of texts collides but by the choice of the bases.
 PRIME = (1 << 31) - 1
@@ -145,7 +147,11 @@ def prefix_hash(flat: np.ndarray, lower: bool = False, seed: int = 0) -> np.ndar
     out = np.zeros((len(bases), len(flat) + 1), dtype=np.uint64)
     for i, base in enumerate(bases):
         table = values[i][_LOWER] if lower else values[i]
-        np.cumsum(_fold(table[flat] * _powers(base, len(flat))), out=out[i, 1:])
+        powers = _powers(base, len(flat))
+        for at in range(0, len(flat), BLOCK):  # what stands in between is small, however long the text
+            part = out[i, at + 1 : at + 1 + BLOCK]
+            np.cumsum(_fold(table[flat[at : at + BLOCK]] * powers[at : at + BLOCK]), out=part)
+            part += out[i, at]
     return out
 
 

@@ -41,13 +41,15 @@ GRAM = 32
 #: Spans of an anchor beyond which its windows go by their own hashes.
 HOT_SPANS = 2000
 #: Bytes of spans cut or sorted at once (more only within one anchor), and pairs whose bytes are compared at once.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 19
 COMPARED = 10_000
 #: Spans of hot anchors whose windows are made at once.
 APART_SPANS = 500
 #: Families of hashes that are tried.
 TRIES = 8
-_PLACE_BITS = 22
+_PLACE_BITS = 20
+#: Bytes whose spans are made at once: at most what ``_PLACE_BITS`` can place.
+PART_BYTES = 1 << 19
 _LAST = 2**63 - 1
 _RANGES = "doc_id long, lo long, hi long, src long, src_lo long"
 _NAMES = ["doc_id", "lo", "hi", "src", "src_lo"]
@@ -64,17 +66,25 @@ def _least_of(key: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def _part_spans(piece: np.ndarray, off: np.ndarray, at: int, seed: int) -> tuple[np.ndarray, ...]:
+    """Spans of the bytes from ``at`` on, of texts that may begin before or end after them."""
+    first, last = np.searchsorted(off, at, "right") - 1, np.searchsorted(off, at + len(piece), "left")
+    cuts = np.clip(off[first : last + 1] - at, 0, len(piece))
+    row, start, *rest = spans(piece, cuts, seed)
+    return row + first, start + cuts[row] + at - off[row + first], *rest
+
+
 def spans(flat: np.ndarray, off: np.ndarray, seed: int = 0) -> tuple[np.ndarray, ...]:
     """Row, start in the row, number of windows, start of the anchor after the span's, anchor's hash and span's hash."""
     n = len(flat) - LENGTH + 1
     if n <= 0:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
-    if len(flat) >= 1 << _PLACE_BITS:  # one very long text: by parts, which split a span at most
-        parts, step = [], (1 << _PLACE_BITS) - LENGTH - 1
+    if len(flat) > PART_BYTES:  # by parts, which split a span at most
+        parts, step = [], PART_BYTES - LENGTH - 1
         for at in range(0, n, step):
             piece = flat[at : at + step + LENGTH - 1]
-            row, start, *rest = spans(piece, np.array([0, len(piece)]), seed)
-            parts.append((row, start + at, *rest))
+            row, start, *rest = _part_spans(piece, off, at, seed)
+            parts.append((row, start, *rest))
         return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
     prefix = ragged.prefix_hash(flat, seed=seed)
     gram = ragged.window_keys(flat, GRAM)

@@ -188,18 +188,22 @@ def test_repeated_strings(docs, corpus, monkeypatch, hot):
 
 
 def test_repeated_strings_in_small_pieces(corpus, monkeypatch):
-    """Very long texts go by parts."""
+    """Texts go by parts, alone and side by side."""
     import numpy as np
     import pyarrow as pa
 
     from blockweave.llm import ragged
 
-    monkeypatch.setattr(suffix_dedup, "_PLACE_BITS", 10)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 700)
     whole = pa.record_batch({"t": pa.array([t or "" for t in corpus])})
     for part, flat, off in ragged.chunks(whole, "t", 1):
         row, start, count, lead, *_ = suffix_dedup.spans(flat, off)
         covered = np.concatenate([np.arange(a, a + c) for a, c in zip(start, count)]) if len(row) else np.empty(0)
         assert sorted(covered) == list(range(max(0, len(flat) - 99)))
+    (part, flat, off), = ragged.chunks(whole, "t")
+    row, start, count, lead, *_ = suffix_dedup.spans(flat, off)
+    covered = sorted((int(r), int(x)) for r, a, c in zip(row, start, count) for x in range(a, a + c))
+    assert covered == [(r, x) for r, n in enumerate(np.diff(off).tolist()) for x in range(n - 99)]
 
 
 @pytest.mark.parametrize("hot", [50_000, 3])
