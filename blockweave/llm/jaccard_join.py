@@ -209,17 +209,25 @@ def _filter(keys: DataFrame) -> tuple[np.ndarray, int]:
     return bloom.bitmap(keys.select(F.explode(F.array(*_slots(F.col("key"), bits))).alias("slot")), bits), bits
 
 
-def _postings(docs: DataFrame, filters: tuple, small: int, only: tuple | None = None) -> DataFrame:
+def _held(found: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
+    """Whether a filter of keys holds each key."""
+    words, last = found[0], np.uint64(found[1] - 1)
+    return bloom.holds(words, key & last, key >> np.uint64(32) & last)
+
+
+def _postings(docs: DataFrame, filters: tuple, small: int, only: tuple | None = None, hot: tuple | None = None) -> DataFrame:
     """key and rep: the keys of the classes, from their representatives' texts, or those of them that a filter holds.
 
+    With a filter of hot keys also whether it holds the key: told here, so that a task has one Python worker.
+
     A copy that the filters take for a representative only adds links to its own class.
     """
     again, size, reps, reps_size = filters
-    shared = docs.sparkSession.sparkContext.broadcast((again, reps, only))
+    shared = docs.sparkSession.sparkContext.broadcast((again, reps, only, hot))
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
-        again, reps, only = shared.value
+        again, reps, only, hot = shared.value
         for batch in batches:
             for part, flat, off in ragged.chunks(batch, "text"):
                 digest = _digests(flat, off)
@@ -230,14 +238,14 @@ def _postings(docs: DataFrame, filters: tuple, small: int, only: tuple | None =
                     value, rows = ragged.shingle_sets(*ragged.buffers(part.column("text")), K)
                     key, owner = set_keys(value, rows, small)
                     if only is not None:
-                        words, last = only[0], np.uint64(only[1] - 1)
-                        held = bloom.holds(words, key & last, key >> np.uint64(32) & last)
+                        held = _held(only, key)
                         key, owner = key[held], owner[held]
-                    yield pa.record_batch([pa.array(ragged.signed(key)), part.column("rep").take(pa.array(owner))], names=["key", "rep"])
+                    columns = [pa.array(ragged.signed(key)), part.column("rep").take(pa.array(owner))]
+                    yield pa.record_batch(columns + ([pa.array(_held(hot, key))] if hot else []), names=["key", "rep", "hot"][: 2 + bool(hot)])
 
     first, second = bloom.slots(F.col("doc_id"), reps_size)
     source = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), first.alias("first"), second.alias("second"), "text")
-    return source.mapInArrow(run, f"key long, rep {kind}")
+    return source.mapInArrow(run, f"key long, rep {kind}" + (", hot boolean" if hot else ""))
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -288,7 +296,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 
     one = texts.select(F.col("rep").alias("a"), F.col("text").alias("t_a"))
     two = texts.select(F.col("rep").alias("b"), F.col("text").alias("t_b"))
-    return left.join(two, "b").join(one, "a").select("a", "b", "t_a", "t_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    # shuffled joins, so that the filter of texts and the comparison don't hold Python workers in the same task
+    return left.join(two.hint("merge"), "b").join(one.hint("merge"), "a").select("a", "b", "t_a", "t_b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -377,7 +386,7 @@ class _Hot:
         salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         theirs = lists.withColumn("hot", self._may(lists)).withColumn("salt", F.explode(salts)).drop("hot")
         salt = F.when(F.col("hot"), F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-        mine = rows.withColumn("hot", self._may(rows)).withColumn("salt", salt).drop("hot")
+        mine = (rows if "hot" in rows.columns else rows.withColumn("hot", self._may(rows))).withColumn("salt", salt).drop("hot")
         return mine.join(theirs, ["key", "salt"]).drop("salt")
 
 
@@ -442,7 +451,7 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lists = written(lists.where("members > 1 and pivot <> last"), "lists")
     longer = lists.where("members > 2").select("key", "pivot", "members")
     hot = _Hot(lists)
-    found = written(hot.join(_postings(docs, filters, small, _filter(longer)), longer), "found")
+    found = written(hot.join(_postings(docs, filters, small, _filter(longer), (hot.words, hot.bits)), longer), "found")
     listed = written(_uncovered(found, classes, small), "listed")
     twos = lists.where("members = 2").select(F.col("pivot").alias("a"), F.col("last").alias("b"))
     stars = twos.union(listed.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))).distinct()

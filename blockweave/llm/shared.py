@@ -22,7 +22,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 #: Most bytes of an Arrow batch that goes to a Python worker, and most rows.
-BATCH_BYTES, BATCH_ROWS = 4 << 20, 4000
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 4000
 
 
 def small_batches(spark: SparkSession) -> None:
