@@ -40,26 +40,42 @@ def valid(decoded: DataFrame) -> DataFrame:
     return decoded.where(~F.col("err"))
 
 
+def _body(result: Column) -> Column:
+    return F.when(result.isNotNull(), F.concat(F.lit('{"result":'), result, F.lit("}")))
+
+
+def _of_id(items: str, i: Column | int) -> Column:
+    """The first result of an id in an array response."""
+    return F.get(F.filter(items, lambda x: (x["id"] == i) & x["result"].isNotNull()), F.lit(0))["result"]
+
+
 def method_batch(bodies: DataFrame) -> DataFrame:
-    """Array responses of one method routed by id: raw rows.  The id is the block's place in its batch, in any order; the first of equal ids counts."""
+    """Array responses of one method, one a row, routed by id: raw rows; within a row, without a shuffle.
+
+    The id is the block's place in its batch, in any order; the first of equal ids counts.
+    """
     items = F.from_json("body", "array<struct<id:int, result:string>>")
-    one = bodies.select("first_block", "method", F.inline(items))
-    row = one.where("id >= 0").groupBy("first_block", "method", "id").agg(F.first("result", ignorenulls=True).alias("result"))
-    body = F.when(F.col("result").isNotNull(), F.concat(F.lit('{"result":'), F.col("result"), F.lit("}")))
-    return row.select((F.col("first_block") + F.col("id")).alias("block_num"), "method", body.alias("body"), body.isNull().alias("failed"))
+    ids = F.array_distinct(F.filter(F.transform("items", lambda x: x["id"]), lambda i: i >= 0))
+    routed = F.transform(ids, lambda i: F.struct(i.alias("id"), _of_id("items", i).alias("result")))
+    row = bodies.select("first_block", "method", items.alias("items")).select("first_block", "method", F.explode(routed).alias("x"))
+    return row.select((F.col("first_block") + F.col("x.id")).alias("block_num"), "method", _body(F.col("x.result")).alias("body"), F.col("x.result").isNull().alias("failed"))
 
 
-def block_batch(bodies: DataFrame) -> DataFrame:
-    """Array responses of a block's three calls, ids 0, 1, 2, as raw rows; within a row, without a shuffle."""
+def block_batch(bodies: DataFrame, wide: bool = False) -> DataFrame:
+    """Array responses of a block's three calls, ids 0, 1, 2, as raw rows, or ``wide`` as one row a block; within a row, without a shuffle."""
     items = F.from_json("body", "array<struct<id:int, result:string>>")
 
     def pick(i: int) -> Column:
         return F.get(F.filter("items", lambda x: x["id"] == i), F.lit(0))["result"]
 
+    held = bodies.select("block_num", items.alias("items"))
+    if wide:
+        whole = F.struct(*[_body(pick(i)).alias(f"{FIELDS[m]}_body") for i, m in enumerate(METHODS)])
+        rows = held.select("block_num", F.inline_outer(F.array(whole)))
+        return rows.withColumn("any_failed", F.greatest(*[F.col(f"{FIELDS[m]}_body").isNull() for m in METHODS]))
     parts = F.array(*[F.struct(F.lit(m).alias("method"), pick(i).alias("result")) for i, m in enumerate(METHODS)])
-    rows = bodies.select("block_num", items.alias("items")).select("block_num", F.explode(parts).alias("x"))
-    body = F.when(F.col("x.result").isNotNull(), F.concat(F.lit('{"result":'), F.col("x.result"), F.lit("}")))
-    return rows.select("block_num", "x.method", body.alias("body"), body.isNull().alias("failed"))
+    rows = held.select("block_num", F.explode(parts).alias("x"))
+    return rows.select("block_num", "x.method", _body(F.col("x.result")).alias("body"), F.col("x.result").isNull().alias("failed"))
 
 
 def head_number(event: Column | str) -> Column:

@@ -73,11 +73,11 @@ def _triples(spark, d) -> DataFrame:
 
 
 def _decoded(spark, d) -> DataFrame:
-    return decode.decode(_triples(spark, d))
+    return decode.decode(decode.assemble(bridge.wide(spark, d)))
 
 
 def _bodies(spark, d, method) -> DataFrame:
-    return bridge.raw(spark, d).where((F.col("method") == method) & ~F.col("failed"))
+    return bridge.raw(spark, d, methods=(method,)).where(~F.col("failed"))
 
 
 def _tables(spark, d, **options) -> dict[str, DataFrame]:
@@ -130,10 +130,10 @@ def src_block_batch(spark, d):
 
 
 query("json_batch_by_id", "SELECT block AS block_num, CASE WHEN failed THEN NULL ELSE 10 END AS n_txs FROM (SELECT a.*, c.n FROM allb a JOIN (SELECT block, count(*) AS n FROM o GROUP BY 1) c USING (block))")(
-    lambda spark, d: decode.method_batch(bridge.method_batches(spark, d).where(F.col("method") == BLOCK_METHOD)).select("block_num", F.when(~F.col("failed"), F.size(decode.result("body", BLOCK_METHOD)["transactions"])).alias("n_txs"))
+    lambda spark, d: decode.method_batch(bridge.method_batches(spark, d, methods=(BLOCK_METHOD,))).select("block_num", F.when(~F.col("failed"), F.size(decode.result("body", BLOCK_METHOD)["transactions"])).alias("n_txs"))
 )
 query("json_block_batch", "SELECT number AS block_num, number, timestamp_s, miner FROM bk")(
-    lambda spark, d: transform.blocks(decode.decode(decode.assemble(decode.block_batch(bridge.block_batches(spark, d))))).select(F.col("number").alias("block_num"), "number", "timestamp_s", "miner")
+    lambda spark, d: transform.blocks(decode.decode(decode.assemble(decode.block_batch(bridge.block_batches(spark, d), wide=True)))).select(F.col("number").alias("block_num"), "number", "timestamp_s", "miner")
 )
 
 
@@ -163,7 +163,7 @@ query("completions_ordered", "SELECT * FROM mk")(lambda spark, d: completions.ma
 
 @query("json_envelope", "SELECT block AS block_num, failed AS is_null FROM allb")
 def json_envelope(spark, d):
-    return bridge.raw(spark, d).where(F.col("method") == BLOCK_METHOD).select("block_num", decode.result("body", BLOCK_METHOD).isNull().alias("is_null"))
+    return bridge.raw(spark, d, methods=(BLOCK_METHOD,)).select("block_num", decode.result("body", BLOCK_METHOD).isNull().alias("is_null"))
 
 
 @query("json_block", "SELECT number AS block_num, '0x' || hex(number) AS number, '0x' || hex(timestamp_s) AS timestamp, CASE WHEN number % 2 = 0 THEN '0x' || hex(timestamp_ms) END AS milli, '0x' || upper(substr(miner, 3)) AS miner, 10 AS n_txs FROM bk")
