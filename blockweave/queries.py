@@ -459,7 +459,7 @@ def _dump_rows(spark, d) -> DataFrame:
 
 query("dump_rows_per_batch_table", _DUMPED + "SELECT batch_id, table_id, count(*) AS n_rows FROM dumped GROUP BY ALL")(lambda spark, d: dump.rows_per_batch_table(_dump_rows(spark, d)))
 query("dump_table_counts", _DUMPED + "SELECT table_id, count(*) AS n_rows FROM dumped GROUP BY ALL")(lambda spark, d: dump.rows_per_table(_dump_rows(spark, d)))
-query("dump_distinct_chunks", "SELECT count(DISTINCT chunk) AS n_chunks, string_agg(DISTINCT chunk::VARCHAR, ',' ORDER BY chunk::VARCHAR) AS chunks FROM bk")(lambda spark, d: dump.chunk_keys(_dump_rows(spark, d)))
+query("dump_distinct_chunks", "SELECT count(DISTINCT chunk) AS n_chunks, string_agg(DISTINCT chunk::VARCHAR, ',' ORDER BY chunk::VARCHAR) AS chunks FROM bk")(lambda spark, d: dump.chunk_keys(_dump_rows(spark, d), listed=None))
 query("dump_merge_batches", _DUMPED + "SELECT batch_id // 4 AS batch_id, table_id, count(*) AS n_rows FROM dumped GROUP BY ALL")(lambda spark, d: dump.rows_per_batch_table(dump.merged(_dump_rows(spark, d), 4)))
 query("dump_rechunk", _DUMPED + "SELECT table_id, (block % 16)::INT AS chunk, count(*) AS n_rows FROM dumped WHERE table_id < 5 GROUP BY ALL")(
     lambda spark, d: dump.rechunked(_dump_rows(spark, d), 16).where("table_id < 5").groupBy("table_id", dump._number(F.get("vals", F.lit(0)), 4).alias("chunk")).agg(F.count("*").alias("n_rows"))

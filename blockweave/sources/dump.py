@@ -261,13 +261,16 @@ def merged(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("batch_id", F.floor(F.col("batch_id") / n)) if n > 1 else rows
 
 
-def chunk_keys(rows: DataFrame) -> DataFrame:
-    """Distinct chunk keys: their number, and the keys in order if there are at most 32, else the least and greatest."""
+def chunk_keys(rows: DataFrame, listed: int | None = 32) -> DataFrame:
+    """Distinct chunk keys: their number, and the keys in order if there are at most ``listed``, else the least and greatest; None lists all, by their text."""
     key = _number(F.get("vals", F.lit(0)), 4).alias("chunk")
     keys = rows.where("table_id < 5").select(key).distinct()
-    counted = keys.agg(F.count("*").alias("n_chunks"), F.min("chunk").alias("low"), F.max("chunk").alias("high"), F.array_sort(F.collect_list(F.when(F.col("chunk").isNotNull(), F.col("chunk")))).alias("all"))
-    few = F.array_join(F.transform("all", lambda x: x.cast("string")), ",")
-    return counted.select("n_chunks", F.when(F.col("n_chunks") <= 32, few).otherwise(F.concat_ws("..", "low", "high")).alias("chunks"))
+    kept = F.when(F.col("chunk").isNotNull(), F.col("chunk").cast("string") if listed is None else F.col("chunk"))
+    counted = keys.agg(F.count("*").alias("n_chunks"), F.min("chunk").alias("low"), F.max("chunk").alias("high"), F.array_sort(F.collect_list(kept)).alias("all"))
+    every = F.array_join(F.transform("all", lambda x: x.cast("string")), ",")
+    if listed is None:
+        return counted.select("n_chunks", every.alias("chunks"))
+    return counted.select("n_chunks", F.when(F.col("n_chunks") <= listed, every).otherwise(F.concat_ws("..", "low", "high")).alias("chunks"))
 
 
 def rows_per_table(rows: DataFrame) -> DataFrame:
