@@ -28,9 +28,13 @@ def assemble(raw: DataFrame) -> DataFrame:
 
 
 def decode(assembled: DataFrame) -> DataFrame:
-    """block_num, block, receipts, traces and err: a block is in error if a call failed or a result is null; also fetch_ms if it is there."""
+    """block_num, block, receipts, traces and err: a block is in error if a call failed or a result is null; also fetch_ms if it is there.
+
+    The generator keeps the filter on err above the parsed results: below, Catalyst would parse all three bodies a second time for it.
+    """
     more = [c for c in ("fetch_ms",) if c in assembled.columns]
-    typed = assembled.select("block_num", "any_failed", *more, *[result(f"{FIELDS[m]}_body", m).alias(FIELDS[m]) for m in METHODS])
+    results = F.struct(*[result(f"{FIELDS[m]}_body", m).alias(FIELDS[m]) for m in METHODS])
+    typed = assembled.select("block_num", "any_failed", *more, F.inline_outer(F.array(results)))
     missing = F.col("block").isNull() | F.col("receipts").isNull() | F.col("traces").isNull()
     return typed.select("block_num", "block", "receipts", "traces", (F.col("any_failed") | missing).alias("err"), *more)
 

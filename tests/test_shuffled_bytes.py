@@ -44,3 +44,10 @@ def test_wide_block_batch_fails_as_one(spark):
     body = '[{"id":2,"result":[]},{"id":0,"result":{"number":"0x7"}}]'
     (row,) = decode.block_batch(spark.createDataFrame([(7, body)], "block_num long, body string"), wide=True).collect()
     assert (row["block_num"], row["block_body"], row["receipts_body"], row["traces_body"], row["any_failed"]) == (7, '{"result":{"number":"0x7"}}', None, '{"result":[]}', True)
+
+
+@pytest.mark.parametrize("name", ["blocks", "cba_latest", "completions_range_scan", "json_block_batch", "log_topics"])
+def test_bodies_are_parsed_once(spark, name):
+    """A filter on complete blocks below the parsing parses all three bodies for itself."""
+    plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(result,") == 3
