@@ -382,9 +382,13 @@ class _Hot:
         return test(*_slots(F.col("key"), self.bits)) if self.words.any() else F.lit(False)
 
     def join(self, rows: DataFrame, lists: DataFrame) -> DataFrame:
-        """Rows with what ``lists`` (one row a key) says of their key; a hot key's rows go ``SALTS`` ways."""
+        """Rows with what ``lists`` (one row a key) says of their key; a hot key's rows go ``SALTS`` ways.
+
+        A column ``hot``, if both have it, says which keys are hot: then no Python worker is asked.
+        """
         salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        theirs = lists.withColumn("hot", self._may(lists)).withColumn("salt", F.explode(salts)).drop("hot")
+        told = lists if "hot" in lists.columns else lists.withColumn("hot", self._may(lists))
+        theirs = told.withColumn("salt", F.explode(salts)).drop("hot")
         salt = F.when(F.col("hot"), F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
         mine = (rows if "hot" in rows.columns else rows.withColumn("hot", self._may(rows))).withColumn("salt", salt).drop("hot")
         return mine.join(theirs, ["key", "salt"]).drop("salt")
@@ -415,9 +419,11 @@ def _across(listed: DataFrame, hot: _Hot, roots: DataFrame, classes: DataFrame)
     """Pairs a, b of one list and different components that sizes and bitmaps don't rule out."""
     placed = listed.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     members = written(placed, "members")
-    mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    # rows of a key agree on its members; asked as a filter, Python would answer twice in a task, once more for the join's null check
+    is_hot = F.col("members") > HOT
+    mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("members").alias("members")).where("low < high").select("key", is_hot.alias("hot"))
     rows = (
-        hot.join(members, mixed)
+        hot.join(members.withColumn("hot", is_hot), mixed)
         .join(classes.select("rep", "n", "bits"), "rep")
         .select("key", "rep", "root", "pivot", "n", "bits", F.explode(_blocks(F.col("members"), F.col("n"), F.col("rep"))).alias("x"))
         .select("key", "x.*", "rep", "root", "pivot", "n", "bits")

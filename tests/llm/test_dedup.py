@@ -275,3 +275,28 @@ def test_ids_with_several_texts(spark):
     df = spark.createDataFrame([(1, text), (2, text), (2, "x" + text + "y"), (3, text)], "doc_id long, text string")
     got = [(r["doc_id"], r["n_removed"]) for r in suffix_dedup.digest(df).collect()]
     assert sorted(got) in ([(1, 0), (2, 0), (2, len(text)), (3, len(text))],)
+
+
+def _workers(node) -> tuple[int, int]:
+    """Python nodes that run in the task of a plan's node, and the most in any task below it."""
+    kind = node.nodeName()
+    if kind == "AdaptiveSparkPlan":
+        return _workers(node.executedPlan())
+    below = [_workers(node.children().apply(i)) for i in range(node.children().size())]
+    own = sum(n for n, _ in below) + bool(re.search("Python|MapInArrow", kind))
+    return (0 if "Exchange" in kind else own, max([own, *(most for _, most in below)]))
+
+
+def test_near_copies_take_one_python_worker_a_task(docs, corpus, monkeypatch):
+    """Each worker beside it holds some 100 MB of an executor."""
+    seen, store = {}, jaccard_join.written
+
+    def watched(df, name="t"):
+        seen[name] = max(seen.get(name, 0), _workers(df._jdf.queryExecution().executedPlan())[1])
+        return store(df, name)
+
+    monkeypatch.setattr(jaccard_join, "written", watched)
+    monkeypatch.setattr(jaccard_join, "HOT", 3)
+    kept = jaccard_join.drop_near_copies(docs(corpus))
+    seen["kept"] = _workers(kept._jdf.queryExecution().executedPlan())[1]
+    assert {k: n for k, n in seen.items() if n > 1} == {} and seen["pruned"] == 1
