@@ -33,6 +33,13 @@ def test_only_rows_of_the_tables_shuffle(spark, name):
     assert _shuffled(df._jdf.queryExecution().executedPlan()) < BYTES_A_ROW * rows
 
 
+def test_range_scan_shuffles_the_rows_of_its_range_alone(spark):
+    whole, part = queries.QUERIES["block_completions"](spark, SF), queries.QUERIES["completions_range_scan"](spark, SF)
+    assert 0 < len(part.collect()) < 0.6 * len(whole.collect())
+    own, all_rows = (_shuffled(df._jdf.queryExecution().executedPlan()) for df in (part, whole))
+    assert 0 < own < 0.6 * all_rows
+
+
 def test_array_responses_are_routed_within_their_row(spark):
     body = '[{"id":1,"result":null},{"id":1,"result":{"number":"0x1"}},{"id":-1,"result":{}},{"id":0,"result":{"number":"0x0"}},{"id":1,"result":{"number":"0x2"}}]'
     df = decode.method_batch(spark.createDataFrame([(20, "m", body), (30, "m", None)], "first_block long, method string, body string"))
